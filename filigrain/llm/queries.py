@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filigrain.llm import exact, mixing, packing, sharding
+from filigrain.llm import exact, minhash, mixing, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op7(table(spark, sf_dir, "documents"))
 
@@ -34,10 +38,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_min_slack_packing": op2,
         "op3_heavy_hitter_dedup": op3,
+        "op6_coordinate_join": op6,
         "op7_hilbert_shards": op7,
         "op9_weighted_mix": op9,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_heavy_hitter_dedup": exact.SQL, "op9_weighted_mix": mixing.SQL}
+    return {"op3_heavy_hitter_dedup": exact.SQL, "op6_coordinate_join": minhash.SQL, "op9_weighted_mix": mixing.SQL}
