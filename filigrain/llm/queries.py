@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filigrain.llm import exact, minhash, mixing, packing, sharding
+from filigrain.llm import exact, minhash, mixing, packing, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_min_slack_packing": op2,
@@ -41,6 +45,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_coordinate_join": op6,
         "op7_hilbert_shards": op7,
         "op9_weighted_mix": op9,
+        "op10_fourier_quality": op10,
     }
 
 
