@@ -56,6 +56,47 @@ def global_rank(df: DataFrame, *order: Column, name: str) -> DataFrame:
     return rows.join(F.broadcast(base), "_part").withColumn("_rank", F.col("_base") + F.col("_idx")).drop("_base", "_part", "_idx")
 
 
+def fits_broadcast(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint if it is counted to be small (two or three longs a row); else as it is."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+LONGEST = (1 << 63) - 1
+BROADCAST_ROWS = 1_000_000
+
+
+def below(c: Column, bounds: list[int]) -> Column:
+    """How many of the ascending bounds are <= c, as a balanced tree of comparisons."""
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c >= F.lit(bounds[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    return tree(0, len(bounds))
+
+
+def with_next(rows: DataFrame, key: str, value: str, ties: str, per_partition: int = 4, most: int = 4096) -> DataFrame:
+    """rows plus next_{value}: that of the row that follows by ascending `key` (a long; nulls last), then `ties`; the
+    last row is followed by the first.
+
+    Buckets are cut at keys that occur (quantiles of one bounded summary, `most` at most), so the row that follows
+    a bucket is known by its key and is sent to both buckets; rows are shuffled once."""
+    rows = rows.withColumn("_k", F.coalesce(F.col(key), F.lit(LONGEST)))
+    n = min(most, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * per_partition)
+    found = rows.agg(F.min("_k").alias("lo"), F.percentile_approx("_k", [i / n for i in range(1, n)] or [0.5], 10 * n).alias("cuts")).first()
+    if found["lo"] is None:
+        return rows.drop("_k").withColumn(f"next_{value}", F.col(value))
+    bounds = sorted({found["lo"], *(found["cuts"] or [])})
+    before = F.when(F.col("_b") == 1, F.lit(len(bounds))).otherwise(F.col("_b") - 1)
+    own = F.struct(F.col("_b").alias("b"), F.lit(0).alias("g"))
+    guard = F.struct(before.alias("b"), F.lit(1).alias("g"))
+    both = rows.withColumn("_b", below(F.col("_k"), bounds)).withColumn("_at", F.explode(F.when(F.col("_k").isin(bounds), F.array(own, guard)).otherwise(F.array(own))))
+    by = W.partitionBy("_at.b").orderBy("_at.g", "_k", ties)
+    return both.withColumn(f"next_{value}", F.lead(value).over(by)).filter("_at.g = 0").drop("_k", "_b", "_at")
+
+
 # ---- vectorised word hashing (numpy over whole Arrow batches) ----
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)

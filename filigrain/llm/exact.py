@@ -7,9 +7,9 @@ none of those can hold more than about 1/tracked of all rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from filigrain.llm.common import SPACES, column_or_null, written
+from filigrain.llm.common import SPACES, column_or_null, fits_broadcast, written
 
 
 def squeezed(text: Column) -> Column:
@@ -46,9 +46,8 @@ def exact_groups(docs: DataFrame, heavy: int = 256, tracked: int = 4096) -> Data
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of docs, dropped ones too.
 
     Null text counts as empty, and all empty texts are one group. Rows that repeat a doc_id are separate rows of
-    the group; each row that carries the winning id and its length is marked kept only once per (doc_id) row, so
-    `keep_first` below settles exact repeats. A null doc_id loses every tie. Extra columns are ignored; an empty
-    table gives no rows."""
+    the group and carry one decision (keep_first settles them). A null doc_id loses every tie. Extra columns are
+    ignored; an empty table gives no rows."""
     rows = written(digests(docs), "digests")
     candidates = heavy_hitters(rows, heavy, tracked)
     # verified: exact counts and winners of the candidates; map-side combining leaves at most `heavy` rows a task
@@ -63,12 +62,24 @@ def exact_groups(docs: DataFrame, heavy: int = 256, tracked: int = 4096) -> Data
 
 
 def keep_first(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that stay, with their columns. Rows repeating one (doc_id, text) stay once."""
-    keep = exact_groups(docs, **limits).filter("kept").select("doc_id", "text_sha256").distinct()
-    sha = F.sha2(squeezed(F.col("text")).cast("binary"), 256)
-    marked = docs.withColumn("__sha", sha)
-    joined = marked.join(keep, marked["doc_id"].eqNullSafe(keep["doc_id"]) & (marked["__sha"] == keep["text_sha256"]), "left_semi")
-    return joined.drop("__sha").dropDuplicates(["doc_id", "text"])
+    """The documents that stay, with their columns. Rows with one doc_id and equal texts stay once, the longest."""
+    marks = written(exact_groups(docs, **limits), "marks")
+    key = ["__id", "__sha"]
+    gone = marks.filter("NOT kept").select("doc_id", "text_sha256").distinct().toDF(*key)
+    again = marks.filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n").toDF(*key)
+    out = docs.withColumns({"__doc": F.col("doc_id"), "__sum": F.sha2(squeezed(F.col("text")).cast("binary"), 256)})
+
+    def same(other: DataFrame) -> Column:
+        return out["__doc"].eqNullSafe(other["__id"]) & (out["__sum"] == other["__sha"])
+
+    gone = fits_broadcast(gone)
+    out = out.join(gone, same(gone), "left_anti")
+    if again.limit(1).count():
+        again = fits_broadcast(again)
+        first = W.partitionBy("__doc", "__sum").orderBy(F.desc(F.char_length("text")), "text")
+        one = out.join(again, same(again), "left_semi").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+        out = out.join(again, same(again), "left_anti").unionByName(one)
+    return out.select(*docs.columns)
 
 
 SQL = r"""

@@ -17,11 +17,10 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from filigrain.llm.common import Words, arrow_bytes, column_or_null, mix64, rows_in_slices, written
+from filigrain.llm.common import Words, arrow_bytes, column_or_null, fits_broadcast, mix64, rows_in_slices, written
 from filigrain.llm.components import connected_components
 
 COORDS = 64
-BROADCAST_ROWS = 1_000_000
 
 
 def least_matches(similarity: float, coords: int = COORDS, sigmas: float = 5.75) -> int:
@@ -106,11 +105,6 @@ def postings(classes: DataFrame, coords: int, least: int) -> DataFrame:
     return per.select("node", "score", F.explode(F.slice("at", F.lit(1), left)).alias("p")).select(F.col("p.key").alias("key"), "node", "score")
 
 
-def fits_broadcast(df: DataFrame) -> DataFrame:
-    """df with a broadcast hint if it is counted to be small (two or three longs a row); else as it is."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def agreeing(pairs: DataFrame, classes: DataFrame, coords: int, least: int) -> DataFrame:
     """Of pairs (a, b), those whose full signatures agree in at least `least` coordinates."""
 
@@ -198,9 +192,9 @@ def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """The documents kept, one of each group, with their columns."""
-    gone = near_duplicates(docs, **settings).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The documents kept, one of each group, with their columns; rows that repeat a kept doc_id all stay."""
+    gone = written(near_duplicates(docs, **settings).filter("NOT kept").select("doc_id").distinct(), "gone")
+    return docs.join(fits_broadcast(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
 SQL = r"""

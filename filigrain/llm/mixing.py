@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from filigrain.llm.common import WORD, column_or_null, ranked_parts, written
+from filigrain.llm.common import WORD, column_or_null, fits_broadcast, ranked_parts, written
 
 WEIGHTS = (5, 2, 1)
 
@@ -77,17 +77,18 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix: a row per epoch, and the first `part` words of those of the last, cut epoch.
-    Documents without words are in no mix."""
+    """The documents of the mix, with their columns: a row per whole epoch, and of the cut epoch a row with the first
+    `part` words (joined by single spaces if the document is cut). Documents without words are in no mix; rows that
+    repeat a doc_id share the larger plan."""
     plan = mix(docs, **settings).filter("taken > 0").groupBy("doc_id").agg(F.max("epochs").alias("__epochs"), F.max("part").alias("__part"), F.max("size").alias("__size"))
-    j = docs.join(plan, "doc_id")
+    plan = fits_broadcast(written(plan, "mixplan").toDF("__id", "__epochs", "__part", "__size"))
+    j = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
     full = F.array_repeat(F.col("text"), F.col("__epochs").cast("int"))
-    # the first __part words, keeping the white space between them
-    cut = F.when(F.col("__part") >= F.col("__size"), F.col("text")).otherwise(
-        F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.greatest(F.col("__part"), F.lit(1)).cast("int")), " ")
-    )
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    cut = F.when(F.col("__part") >= F.col("__size"), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("__part").cast("int")), " "))
     texts = F.when(F.col("__part") > 0, F.concat(full, F.array(cut))).otherwise(full)
-    return j.withColumn("text", F.explode(texts)).select(*docs.columns)
+    kept = [c for c in docs.columns if c != "text"]
+    return j.select(*kept, F.explode(texts).alias("text")).select(*docs.columns)
 
 
 SQL = r"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filigrain.llm.common import Words, arrow_bytes, column_or_null, rows_in_slices, written
+from filigrain.llm.common import Words, arrow_bytes, column_or_null, fits_broadcast, rows_in_slices, written
 
 STATS = (
     "log_chars", "word_length", "word_spread", "upper", "digits", "marks", "symbols", "wide_bytes", "line_length", "log_lines",
@@ -216,6 +216,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFrame:
-    """The documents whose score is at least `least`, with their columns."""
+    """The documents whose score is at least `least`, with their columns; of rows that repeat a doc_id the lowest
+    score decides."""
     bad = quality_scores(docs, labels).filter(F.col("score") < least).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(fits_broadcast(written(bad, "bad")), "doc_id", "left_anti").select(*docs.columns)

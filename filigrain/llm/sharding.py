@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filigrain.llm.common import column_or_null, global_rank
+from filigrain.llm.common import below, column_or_null, global_rank
 
 BITS = 6
 
@@ -54,22 +54,10 @@ def quantised(df: DataFrame, dims: dict[str, Column], bits: int = BITS) -> DataF
     cells = []
     for name, c in dims.items():
         bounds = sorted({int(v) for v in (found[name] or [])})
-        cells.append(_below(c, bounds))
+        cells.append(below(c, bounds))
     return df.withColumn("_q", F.array(*cells))
 
 
-def _below(c: Column, bounds: list[int]) -> Column:
-    """How many bounds are <= c, as a balanced tree of comparisons."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c >= F.lit(bounds[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return tree(0, len(bounds))
-
-
 def hilbert_order(df: DataFrame, dims: dict[str, Column], bits: int = BITS) -> DataFrame:
     """df with _curve, its place on the Hilbert curve through the quantised dims."""
     @F.pandas_udf("long")
