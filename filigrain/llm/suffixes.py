@@ -3,8 +3,8 @@
 Suffixes are retained at minimiser positions only: of every least - SEED + 1 consecutive SEED-word beginnings, the
 one with the smallest hash. Two texts that share `least` words retain the same suffix inside them, wherever these
 stand. The retained suffixes are sorted over the cluster by their beginnings and neighbours are compared; only those
-with an equal neighbour are extended to the left and right, by the windows of `least` words that contain them, and a
-window is a repeat when other documents have it. So no match of `least` words or more is missed, and nothing is
+with an equal neighbour are extended, first to the right over `least` words, then at the ends of matches to the left and
+right over all windows of `least` words that contain them; a window is a repeat when other documents have it. So no match of `least` words or more is missed, and nothing is
 compared pair by pair."""
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, Window as W
 
-from filigrain.llm.common import Words, arrow_bytes, column_or_null, range_hash, rows_in_slices, written
+from filigrain.llm.common import Words, arrow_bytes, column_or_null, fits_broadcast, range_hash, rows_in_slices, written
 
 SEED = 32
 
@@ -70,7 +70,7 @@ def neighbours(sorted_rows: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         # the last row is held back until its follower is seen; the first run of the partition always passes
-        held, first, names = None, None, ["doc_id", "word"]
+        held, first, names = None, None, ["hash", "doc_id", "word"]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -96,12 +96,13 @@ def neighbours(sorted_rows: DataFrame) -> DataFrame:
         if held is not None:
             yield held[2]
 
-    return sorted_rows.mapInArrow(run, "doc_id long, word int")
+    return sorted_rows.mapInArrow(run, "hash long, doc_id long, word int")
 
 
-def extended(docs: DataFrame, suffixes: DataFrame, seed: int, least: int) -> DataFrame:
-    """(hash, other, doc_id, word, start, stop): the windows of `least` words around the suffixes of each text, once
-    each, with their code points. hash and other are 64 bits each, of different bases."""
+def extended(docs: DataFrame, suffixes: DataFrame, back: int, least: int) -> DataFrame:
+    """(hash, other, doc_id, word, start, stop): the windows of `least` words that begin at the suffixes of each text
+    or up to `back` words before, once each, with their code points. hash and other are 64 bits each, of different
+    bases. Only texts that have suffixes are shuffled."""
 
     def run(batches):
         import pyarrow as pa
@@ -112,7 +113,7 @@ def extended(docs: DataFrame, suffixes: DataFrame, seed: int, least: int) -> Dat
                 data = text.encode()
                 words = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
                 n = len(words.start)
-                begin = (np.unique(np.asarray(at, np.int64))[:, None] - np.arange(least - seed + 1)).reshape(-1)
+                begin = (np.unique(np.asarray(at, np.int64))[:, None] - np.arange(back + 1)).reshape(-1)
                 begin = np.unique(begin[(begin >= 0) & (begin + least <= n)])
                 if not len(begin):
                     continue
@@ -133,13 +134,14 @@ def extended(docs: DataFrame, suffixes: DataFrame, seed: int, least: int) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["hash", "other", "doc_id", "word", "start", "stop"])
 
     per = suffixes.groupBy("doc_id").agg(F.collect_list("word").alias("words"))
-    return docs.join(per, "doc_id").select("doc_id", "text", "words").mapInArrow(run, "hash long, other long, doc_id long, word int, start long, stop long")
+    some = docs.join(fits_broadcast(written(suffixes.select("doc_id").distinct(), "ids")), "doc_id", "left_semi")
+    return some.join(per, "doc_id").select("doc_id", "text", "words").mapInArrow(run, "hash long, other long, doc_id long, word int, start long, stop long")
 
 
 def repeats(docs: DataFrame, least: int = 50, seed: int = SEED) -> DataFrame:
     """doc_id, start, stop (code points), words, first_doc_id, occurrences: one row per passage of a document of which
     every window of `least` words is also in another document; first_doc_id is the smallest document with any of
-    these windows, occurrences the most places that hold one of them.
+    the windows compared, occurrences the most places that hold one of them.
 
     Words are [^\\x20\\x09-\\x0D]+ and compared as they are; white space between them may differ. Overlapping and
     touching passages are one. Null and empty texts and those under `least` words have none. Rows that repeat a
@@ -150,11 +152,26 @@ def repeats(docs: DataFrame, least: int = 50, seed: int = SEED) -> DataFrame:
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ("hash", "doc_id", "word")
     equal = written(neighbours(rows.repartitionByRange(n, *order).sortWithinPartitions(*order)), "neighbours")
-    windows = written(extended(docs, equal, seed, least), "windows")
-    shared = windows.groupBy("hash", "other").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("occurrences")).filter("first_doc_id <> _last")
-    found = windows.join(shared.drop("_last"), ["hash", "other"]).drop("hash", "other").distinct()
+    # windows that begin at a suffix tile the inside of a long match; its ends need the windows before some suffixes
+    inner = written(shared_windows(extended(docs, equal, 0, least)), "windows")
     by = W.partitionBy("doc_id").orderBy("word")
-    marked = found.withColumn("_new", F.when(F.col("word") > F.coalesce(F.max("word").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1 - 2 * least)) + least, 1).otherwise(0))
-    runs = marked.withColumn("_run", F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, 0)))
+    gap = F.col("word") - F.coalesce(F.lag("word").over(by), F.lit(-2 * least))
+    ends = inner.select("doc_id", "word", gap.alias("gap")).filter(F.col("gap") > least).select("doc_id", "word")
+    kept = inner.select("doc_id", "word").distinct()
+    edge = equal.join(kept, ["doc_id", "word"], "left_anti").select("hash").union(equal.join(ends, ["doc_id", "word"]).select("hash"))
+    edge = written(edge.distinct(), "edges")
+    around = equal.join(fits_broadcast(edge), "hash", "left_semi")  # every place of these suffixes, so that partners meet
+    outer = written(shared_windows(extended(docs, around, least - seed, least)), "windows")
+    found = inner.union(outer).groupBy("doc_id", "word", "start", "stop").agg(F.min("first_doc_id").alias("first_doc_id"), F.max("occurrences").alias("occurrences"))
+    before = F.coalesce(F.max("word").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(-2 * least))
+    runs = found.withColumn("_new", F.when(F.col("word") > before + least, 1).otherwise(0)).withColumn("_run", F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, 0)))
     out = runs.groupBy("doc_id", "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("word") - F.min("word") + least).cast("long").alias("words"), F.min("first_doc_id").alias("first_doc_id"), F.max("occurrences").alias("occurrences"))
     return out.drop("_run")
+
+
+def shared_windows(windows: DataFrame) -> DataFrame:
+    """(doc_id, word, start, stop, first_doc_id, occurrences) of windows that two documents or more have."""
+    windows = written(windows, "extended")
+    shared = windows.groupBy("hash", "other").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("occurrences"))
+    shared = shared.filter("first_doc_id <> _last").drop("_last")
+    return windows.join(shared, ["hash", "other"]).select("doc_id", "word", "start", "stop", "first_doc_id", "occurrences")
