@@ -129,24 +129,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
         import pyarrow as pa
 
         for batch in rows_in_slices(batches, 2 << 20):
-            packed = [s.tobytes() for s in shingle_sets(*arrow_bytes(batch.column("text")), k)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(packed, pa.binary())], [*(c for c in batch.schema.names if c != "text"), "set"])
-
-    def compare(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            own = shingle_sets(*arrow_bytes(batch.column("text")), k)
+            at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(own).view(np.int64)))
+            names = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], [*names, "set"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    left = text.join(fits_broadcast(pairs.select(F.col("a").alias("node"), "b")), "node").mapInArrow(sets, "node long, b long, set binary").toDF("a", "b", "set_a")
-    right = text.join(fits_broadcast(pairs.select(F.col("b").alias("node")).distinct()), "node").mapInArrow(sets, "node long, set binary").toDF("b", "set_b")
-    return left.join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long").distinct()
+    left = text.join(fits_broadcast(pairs.select(F.col("a").alias("node"), "b")), "node").mapInArrow(sets, "node long, b long, set array<long>").toDF("a", "b", "set_a")
+    right = text.join(fits_broadcast(pairs.select(F.col("b").alias("node")).distinct()), "node").mapInArrow(sets, "node long, set array<long>").toDF("b", "set_b")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return left.join(right, "b").filter(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, coords: int = COORDS) -> DataFrame:
