@@ -85,7 +85,7 @@ def keyword_overlap(t):
 # ---- dense retrieval and fusion ----
 
 _DENSE = """
-v AS (SELECT vec_id AS pos, embedding::DOUBLE[] AS e FROM embeddings), qv AS (SELECT pos AS qid, e AS x FROM v WHERE pos < 20),
+v AS (SELECT vec_id AS pos, embedding::DOUBLE[] AS e FROM embeddings), qv AS (SELECT pos AS qid, e AS x FROM v WHERE pos % 100 = 0),
 ds AS (SELECT qid, pos, round(list_inner_product(e, x), 6) AS score FROM v, qv),
 dr AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos) AS rank FROM ds),
 lb AS (SELECT qid, pos, row_number() OVER (PARTITION BY qid ORDER BY abs(doc_id - qid), pos) AS rank FROM (SELECT q.qid, v.pos, v.pos AS doc_id FROM v, qv q WHERE v.pos <> q.qid))"""
@@ -96,7 +96,7 @@ def _vectors(t) -> DataFrame:
 
 
 def _vector_queries(t) -> DataFrame:
-    return _vectors(t).filter("pos < 20").select(F.col("pos").alias("qid"), F.col("embedding").alias("vec"))
+    return _vectors(t).filter("pos % 100 = 0").select(F.col("pos").alias("qid"), F.col("embedding").alias("vec"))
 
 
 @query("dense_batch", f"WITH {_DENSE} SELECT qid, pos, score, rank FROM dr WHERE rank <= 100")
