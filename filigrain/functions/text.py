@@ -40,7 +40,7 @@ def section_matches(section: Column, allowed: list[str]) -> Column:
 
 def parse_number(cell: Column) -> Column:
     """struct(value, percent) of a printed cell: parentheses and a leading minus are negative, dashes are 0."""
-    t = F.regexp_replace(F.trim(cell), "[  ]", "")
+    t = F.replace(F.trim(cell), F.lit("\u2009"), F.lit(""))
     digits = F.nullif(F.regexp_extract(t, NUMBER, 1), F.lit(""))
     size = F.abs(F.replace(digits, F.lit(","), F.lit("")).cast("double"))
     negative = (F.contains(t, F.lit("(")) & F.contains(t, F.lit(")"))) | F.startswith(t, F.lit("-"))

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
-from filigrain.functions import text as T
-from filigrain.operators import coverage, dense, evaluate, expand, fusion, lexical
+from filigrain.functions import html, text as T
+from filigrain.operators import coverage, dense, evaluate, expand, fusion, lexical, requests, sections
+from filigrain.sources import tables
+from filigrain.streaming import logs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -446,3 +448,65 @@ def index_version(t):
     """Changes if and only if the corpus does, and needs no order: a fold of row digests, not one long string."""
     h = F.conv(F.substring(F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "text"), 256), 1, 15), 16, 10).cast("long")
     return t("documents").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x")).select(F.concat("n", F.lit("-"), "x").alias("version"))
+
+
+# ---- pages, sections, windows, status, logs ----
+
+@query("html_blocks")
+def html_blocks(t):
+    return sections.blocks_of(html.parse_html(t("pages"), "page_id"), "page_id")
+
+
+@query("section_chunks")
+def section_chunks(t):
+    parsed = html.parse_html(t("pages"), "page_id")
+    return sections.chunks(sections.sections(sections.blocks_of(parsed, "page_id"), "page_id"), "page_id")
+
+
+@query("fixed_windows", """WITH d AS (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+n AS (SELECT doc_id, w, unnest(range(0, 1 + ceil(greatest(len(w) - 200, 0) / 180)::BIGINT)) AS i FROM d WHERE len(w) > 0)
+SELECT doc_id, i AS window_no, len(w[i * 180 + 1 : i * 180 + 200])::BIGINT AS n_words, md5(array_to_string(w[i * 180 + 1 : i * 180 + 200], ' ')) AS digest FROM n""")
+def fixed_windows(t):
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = t("documents").select("doc_id", F.posexplode(sections.token_windows(words, 200)).alias("i", "w"))
+    return rows.select("doc_id", F.col("i").cast("long").alias("window_no"), F.size("w").cast("long").alias("n_words"), F.md5(F.array_join("w", " ").cast("binary")).alias("digest"))
+
+
+@query("evidence_status", f"""WITH {_INDEX}, {_SCORES}, r AS (SELECT qid, pos, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos) AS rank FROM s JOIN documents ON doc_id = pos WHERE lang IN ('en', 'fr')),
+g AS (SELECT qid, list(DISTINCT upper(lang)) AS have FROM r JOIN documents ON doc_id = pos WHERE rank <= 10 GROUP BY qid)
+SELECT item_id AS qid, CASE WHEN have IS NULL THEN 'empty' ELSE 'weak' END AS evidence_status,
+CASE WHEN have IS NULL THEN 'no_results' WHEN len(have) < 2 THEN 'multi_target,entity_missing' ELSE 'multi_target' END AS weak_reasons FROM benchmark LEFT JOIN g ON qid = item_id""")
+def evidence_status(t):
+    docs, wanted = _docs(t), F.create_map(F.lit("ticker"), F.array(F.lit("EN"), F.lit("FR")))
+    allowed = docs.filter(F.col("lang").isin("en", "fr"))
+    found = lexical.bm25(docs, _benchmark(t), allowed.select("pos"), candidates=10).join(docs.select("pos", F.upper("lang").alias("ticker")), "pos")
+    found = found.select("qid", "ticker", F.lit(None).cast("string").alias("fiscal_year"), F.lit(None).cast("string").alias("fiscal_period"))
+    asked = _benchmark(t).select("qid", wanted.alias("filters"))
+    n = allowed.agg(F.count(F.lit(1)).alias("n"))
+    out = requests.evidence_status(asked, asked.select("qid").crossJoin(F.broadcast(n)), found)  # n is one row
+    return out.select("qid", "evidence_status", F.array_join("weak_reasons", ",").alias("weak_reasons"))
+
+
+@query("latency_windows", """SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n, round(avg(value), 6) AS mean, max(value) AS slowest FROM events GROUP BY ALL""")
+def latency_windows(t):
+    out = logs.latency_windows(t("events"), "ts", "event_type", "value")
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", "mean", "slowest")
+
+
+@query("rarest_terms", f"WITH {_INDEX} SELECT pos, term, df, rank FROM (SELECT pos, term, df, row_number() OVER (PARTITION BY pos ORDER BY df, term) AS rank FROM p JOIN f USING (term)) WHERE rank <= 3")
+def rarest_terms(t):
+    index = lexical.build(_docs(t))
+    rows = index.postings.join(index.terms, "term").withColumn("rank", F.row_number().over(W.partitionBy("pos").orderBy("df", "term")))
+    return rows.filter("rank <= 3").select("pos", "term", "df", "rank")
+
+
+@query("cache_anti_join", "WITH h AS (SELECT DISTINCT sha1(text) AS hash FROM documents WHERE lang = 'en') SELECT DISTINCT sha1(text) AS hash FROM documents WHERE text IS NOT NULL AND sha1(text) NOT IN (SELECT hash FROM h WHERE hash IS NOT NULL)")
+def cache_anti_join(t):
+    docs = t("documents").filter("text IS NOT NULL")
+    return tables.new_texts(docs, docs.filter("lang = 'en'").select(F.sha1("text").alias("hash")).distinct()).select("hash")
+
+
+@query("newest_per_form", "SELECT o_custkey AS ticker, o_orderstatus AS form, o_orderkey AS pos FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS r FROM orders) WHERE r <= 2")
+def newest_per_form(t):
+    o = t("orders").select(F.col("o_custkey").alias("ticker"), F.col("o_orderstatus").alias("form"), F.lit(0).alias("page"), F.col("o_orderkey").alias("pos"), F.lit("").alias("report_date"), F.col("o_orderdate").cast("string").alias("filing_date"))
+    return tables.newest_filings(o, o.select("ticker", "form").distinct().withColumn("n", F.lit(2))).select("ticker", "form", "pos")
