@@ -16,12 +16,15 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; a temporary one of our own only where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="filigrain-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    if not root:  # a core setting, which a running session cannot take
+        root = _OWN_ROOTS.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="filigrain-")
+        _OWN_ROOTS[spark.sparkContext.applicationId] = root
     return root.rstrip("/")
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors, and
     fixes values such as partition numbers that a recomputation could change."""
