@@ -7,7 +7,8 @@ the count over full signatures is held against `least`, and what is left is conf
 
 Groups stay linear: equal sets are one class first; each posting list is compared with its hub, the member whose
 pairs are the most common (the centre of a group of edited copies); after the linked classes are merged into
-components, lists that still hold several components are compared across components only."""
+components, lists that still hold several components are compared across components only, by what sets their
+members apart from the hub (see cross_pairs)."""
 
 from __future__ import annotations
 
@@ -15,7 +16,7 @@ import hashlib
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from filigrain.llm.common import Words, arrow_bytes, column_or_null, fits_broadcast, mix64, rows_in_slices, written
 from filigrain.llm.components import connected_components
@@ -125,19 +126,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     """Of pairs (a, b), those with 100 * intersection >= percent * union over full shingle sets. The sets of b, the
     hubs, are few; those of a travel once per pair."""
 
-    def sets(batches):
-        import pyarrow as pa
-
-        for batch in rows_in_slices(batches, 2 << 20):
-            own = shingle_sets(*arrow_bytes(batch.column("text")), k)
-            at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(own).view(np.int64)))
-            names = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], [*names, "set"])
-
-    text = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    left = text.join(fits_broadcast(pairs.select(F.col("a").alias("node"), "b")), "node").mapInArrow(sets, "node long, b long, set array<long>").toDF("a", "b", "set_a")
-    right = text.join(fits_broadcast(pairs.select(F.col("b").alias("node")).distinct()), "node").mapInArrow(sets, "node long, set array<long>").toDF("b", "set_b")
+    left = with_sets(docs, pairs.select(F.col("a").alias("node"), "b"), k, "b long, ").toDF("a", "b", "set_a")
+    right = with_sets(docs, pairs.select(F.col("b").alias("node")).distinct(), k, "").toDF("b", "set_b")
     both = F.size(F.array_intersect("set_a", "set_b"))
     return left.join(right, "b").filter(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b").distinct()
 
@@ -158,12 +148,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, coords: int
     copies = able.join(heads.filter("node <> _last").select("digest", "node"), "digest").filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     lists = written(postings(classes, coords, least), "postings")
     hubs = lists.groupBy("key").agg(F.max(F.struct("score", (-F.col("node")).alias("m"))).alias("h")).select("key", (-F.col("h.m")).alias("b"))
-    hubs = lists.join(hubs, "key").filter("node <> b").select(F.col("node").alias("a"), "b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("collisions")).drop("collisions")
+    hub_of = written(hubs, "hubs")
+    hubs = lists.join(hub_of, "key").filter("node <> b").select(F.col("node").alias("a"), "b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("collisions")).drop("collisions")
     near = written(agreeing(hubs, classes, coords, least), "pairs")
     links = written(confirmed(near, docs, k, percent), "links")
     edges = links.union(copies)
     roots = connected_components(edges)
-    across = cross_pairs(lists, roots)
+    across = cross_pairs(lists, hub_of, roots, docs, k, percent)
     more = written(agreeing(across, classes, coords, least), "pairs")
     if more.limit(1).count():
         more = written(more.join(near, ["a", "b"], "left_anti").join(near.toDF("b", "a"), ["a", "b"], "left_anti"), "pairs")
@@ -175,13 +166,69 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, coords: int
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def cross_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a posting list but are in different components, each once."""
+def with_sets(docs: DataFrame, rows: DataFrame, k: int, kept: str) -> DataFrame:
+    """rows (node, and the columns `kept` names by DDL) with the shingle set of the node's text."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in rows_in_slices(batches, 2 << 20):
+            own = shingle_sets(*arrow_bytes(batch.column("text")), k)
+            at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(own).view(np.int64)))
+            names = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], [*names, "set"])
+
+    text = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    return text.join(fits_broadcast(rows), "node").mapInArrow(run, f"node long, {kept}set array<long>")
+
+
+def residuals(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(a, b, n_a, n_b, rest) of pairs (a, b): rest is the symmetric difference of the two shingle sets."""
+    left = with_sets(docs, pairs.select(F.col("a").alias("node"), "b"), k, "b long, ").toDF("a", "b", "x")
+    right = with_sets(docs, pairs.select(F.col("b").alias("node")).distinct(), k, "").toDF("b", "y")
+    rest = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
+    return left.join(right, "b").select("a", "b", F.size("x").alias("n_a"), F.size("y").alias("n_b"), rest.alias("rest"))
+
+
+#: Width of the classes of residual sizes: this share of the hub's set near the hub, growing with the distance.
+CLASS_WIDTH = 0.02
+
+
+def cross_pairs(lists: DataFrame, hub_of: DataFrame, roots: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a posting list and may be linked, each once.
+
+    Members of a list are described by what sets them apart from its hub h: R(x), the symmetric difference of x and
+    h. Links allow |x - y| <= D = (1 - t) / (1 + t) (|x| + |y|) differing shingles, so R(x) and R(y) have at least
+    (|R(x)| + |R(y)| - D) / 2 in common; and as one of the two is not linked to h, at least t / 2 of the smaller.
+    So a prefix of each, rarest first, shares a shingle (prefix filter, by classes of |R|), and what only one member
+    of the list has is never joined. Edited copies that went separate ways have nothing rare in common."""
+    t = percent / 100
     placed = lists.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    rest = written(placed.join(mixed, "key"), "mixed")
-    x, y = rest.toDF("key", "a", "ra"), rest.toDF("key", "b", "rb")
-    return x.join(y, "key").filter("a > b AND ra <> rb").select("a", "b").distinct()
+    members = placed.join(mixed, "key").join(hub_of, "key").filter("node <> b")
+    members = written(members.groupBy(F.col("node").alias("a"), "b").agg(F.max("root").alias("root")), "members")
+    rest = written(residuals(members.select("a", "b"), docs, k), "residuals")
+    each = rest.select("a", "b", F.explode("rest").alias("f"))
+    shared = each.groupBy("b", "f").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    common = each.join(shared, ["b", "f"]).groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("n", "f"))).alias("s"))
+    size = F.size("rest")
+    rows = rest.select("a", "b", "n_b", size.alias("r"), (F.lit((1 - t) / (1 + t) * (1 + 1 / t)) * F.col("n_a")).alias("d"))
+
+    def class_of(r: Column) -> Column:
+        return F.floor(F.log1p(F.greatest(r, F.lit(0.0)) / F.greatest(F.col("n_b"), F.lit(1))) / CLASS_WIDTH).cast("int")
+
+    rows = rows.withColumn("q", class_of(F.col("r"))).withColumn("p", F.explode(F.sequence(class_of(F.col("r") - F.col("d")), class_of(F.col("r") + F.col("d")))))
+    least = F.floor(F.expm1(F.col("p") * CLASS_WIDTH) * F.col("n_b"))  # no partner of class p has fewer
+    overlap = F.greatest(F.lit(1), F.ceil((F.col("r") + least - F.col("d")) / 2 - 1e-6), F.ceil(t / 2 * F.least("r", least) - 1e-6)).cast("int")
+    posted = rows.withColumn("prefix", F.col("r") - overlap + 1).filter("prefix > 0").join(common, ["a", "b"])
+    taken = F.col("prefix") - (F.col("r") - F.size("s"))  # shingles of its own come first and meet nobody
+    posted = posted.withColumn("taken", taken).filter("taken > 0").select("a", "b", "q", "p", F.explode(F.slice("s", F.lit(1), F.least("taken", F.size("s")))).alias("e"))
+    posted = posted.join(members, ["a", "b"]).select("b", "q", "p", F.col("e.f").alias("f"), "a", "root")
+    posted = written(posted, "posted")
+    x, y = posted, posted.select("b", F.col("p").alias("q"), F.col("q").alias("p"), "f", F.col("a").alias("c"), F.col("root").alias("other"))
+    found = x.join(y, ["b", "q", "p", "f"]).filter("a > c AND root <> other")
+    return found.select("a", F.col("c").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
