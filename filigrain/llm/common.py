@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T, Window as W
@@ -34,6 +35,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int = 4 << 20):
+    """What is run inside sends batches of about `size` bytes to Python. By default a batch has 10,000 rows, so its
+    buffers, in the JVM and in Python, grow with the length of the texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
 

@@ -18,10 +18,12 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filigrain.llm.common import Words, arrow_bytes, column_or_null, fits_broadcast, mix64, rows_in_slices, written
+from filigrain.llm.common import Words, arrow_batches, arrow_bytes, column_or_null, fits_broadcast, mix64, rows_in_slices, written
 from filigrain.llm.components import connected_components
 
 COORDS = 64
+#: Bytes of text hashed at once; the arrays beside them take some 30 times as much.
+SLICE = 1 << 19
 
 
 def least_matches(similarity: float, coords: int = COORDS, sigmas: float = 5.75) -> int:
@@ -63,7 +65,7 @@ def signed(docs: DataFrame, k: int, coords: int) -> DataFrame:
         import pyarrow as pa
 
         a, b = multipliers(coords)
-        for batch in rows_in_slices(batches, 2 << 20):
+        for batch in rows_in_slices(batches, SLICE):
             hashes, first = shingle_hashes(Words(*arrow_bytes(batch.column("text")), lower=True), k)
             rows = np.flatnonzero(np.diff(first))
             minima = np.zeros((batch.num_rows, coords), np.uint32)
@@ -139,29 +141,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, coords: int
     similarity of percent / 100 or more are linked, and component_id is the smallest doc_id reachable. An empty or
     null text links with nothing. Rows that repeat a doc_id are one node, linked by any of their texts. A null
     doc_id links with nothing and stays. Extra columns are ignored; an empty table gives no rows."""
-    least = least_matches(percent / 100, coords)
-    rows = written(signed(docs, k, coords), "signatures")
-    able = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    heads = able.groupBy("digest").agg(F.min(F.struct("doc_id", "signature")).alias("h"), F.max("doc_id").alias("_last")).select("digest", F.col("h.doc_id").alias("node"), F.col("h.signature").alias("signature"), "_last")
-    heads = written(heads, "classes")
-    classes = heads.select("node", "signature")
-    copies = able.join(heads.filter("node <> _last").select("digest", "node"), "digest").filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    lists = written(postings(classes, coords, least), "postings")
-    hubs = lists.groupBy("key").agg(F.max(F.struct("score", (-F.col("node")).alias("m"))).alias("h")).select("key", (-F.col("h.m")).alias("b"))
-    hub_of = written(hubs, "hubs")
-    hubs = lists.join(hub_of, "key").filter("node <> b").select(F.col("node").alias("a"), "b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("collisions")).drop("collisions")
-    near = written(agreeing(hubs, classes, coords, least), "pairs")
-    links = written(confirmed(near, docs, k, percent), "links")
-    edges = links.union(copies)
-    roots = connected_components(edges)
-    across = cross_pairs(lists, hub_of, roots, docs, k, percent)
-    more = written(agreeing(across, classes, coords, least), "pairs")
-    if more.limit(1).count():
-        more = written(more.join(near, ["a", "b"], "left_anti").join(near.toDF("b", "a"), ["a", "b"], "left_anti"), "pairs")
-        fresh = written(confirmed(more, docs, k, percent), "links")
-        if fresh.limit(1).count():
-            roots = connected_components(roots.filter("node <> root").toDF("a", "b").union(fresh))
-    roots = roots.filter("node <> root")
+    with arrow_batches(docs.sparkSession):
+        least = least_matches(percent / 100, coords)
+        rows = written(signed(docs, k, coords), "signatures")
+        able = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+        heads = able.groupBy("digest").agg(F.min(F.struct("doc_id", "signature")).alias("h"), F.max("doc_id").alias("_last")).select("digest", F.col("h.doc_id").alias("node"), F.col("h.signature").alias("signature"), "_last")
+        heads = written(heads, "classes")
+        classes = heads.select("node", "signature")
+        copies = able.join(heads.filter("node <> _last").select("digest", "node"), "digest").filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+        lists = written(postings(classes, coords, least), "postings")
+        hubs = lists.groupBy("key").agg(F.max(F.struct("score", (-F.col("node")).alias("m"))).alias("h")).select("key", (-F.col("h.m")).alias("b"))
+        hub_of = written(hubs, "hubs")
+        hubs = lists.join(hub_of, "key").filter("node <> b").select(F.col("node").alias("a"), "b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("collisions")).drop("collisions")
+        near = written(agreeing(hubs, classes, coords, least), "pairs")
+        links = written(confirmed(near, docs, k, percent), "links")
+        edges = links.union(copies)
+        roots = connected_components(edges)
+        across = cross_pairs(lists, hub_of, roots, docs, k, percent)
+        more = written(agreeing(across, classes, coords, least), "pairs")
+        if more.limit(1).count():
+            more = written(more.join(near, ["a", "b"], "left_anti").join(near.toDF("b", "a"), ["a", "b"], "left_anti"), "pairs")
+            fresh = written(confirmed(more, docs, k, percent), "links")
+            if fresh.limit(1).count():
+                roots = connected_components(roots.filter("node <> root").toDF("a", "b").union(fresh))
+        roots = roots.filter("node <> root")
     out = rows.join(roots, rows["doc_id"] == roots["node"], "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -172,7 +175,7 @@ def with_sets(docs: DataFrame, rows: DataFrame, k: int, kept: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in rows_in_slices(batches, 2 << 20):
+        for batch in rows_in_slices(batches, SLICE):
             own = shingle_sets(*arrow_bytes(batch.column("text")), k)
             at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(own).view(np.int64)))
