@@ -230,7 +230,8 @@ def cross_pairs(lists: DataFrame, hub_of: DataFrame, roots: DataFrame, docs: Dat
     posted = posted.join(members, ["a", "b"]).select("b", "q", "p", F.col("e.f").alias("f"), "a", "root")
     posted = written(posted, "posted")
     x, y = posted, posted.select("b", F.col("p").alias("q"), F.col("q").alias("p"), "f", F.col("a").alias("c"), F.col("root").alias("other"))
-    found = x.join(y, ["b", "q", "p", "f"]).filter("a > c AND root <> other")
+    # merged: these rows take little room in files, by which Spark would judge them fit to be broadcast
+    found = x.hint("merge").join(y, ["b", "q", "p", "f"]).filter("a > c AND root <> other")
     return found.select("a", F.col("c").alias("b")).distinct()
 
 
