@@ -329,12 +329,22 @@ def used_key_anti_join(t):
 
 @query("freeze_full_outer", "SELECT coalesce(c_custkey, o_custkey) AS key, CASE WHEN c_custkey IS NULL THEN 'extra' WHEN o_custkey IS NULL THEN 'missing' ELSE 'present' END AS state, coalesce(n, 0) AS n FROM (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) FULL JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
 def freeze_full_outer(t):
-    have = t("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    j = t("customer").filter("c_custkey % 2 = 0").select("c_custkey").join(have, F.col("c_custkey") == F.col("o_custkey"), "full")
+    return _frozen(t("customer").filter("c_custkey % 2 = 0"), t("orders"))
+
+
+def _frozen(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    have = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    j = customer.select("c_custkey").join(have, F.col("c_custkey") == F.col("o_custkey"), "full")
     state = F.when(F.col("c_custkey").isNull(), "extra").when(F.col("o_custkey").isNull(), "missing").otherwise("present")
     return j.select(F.coalesce("c_custkey", "o_custkey").alias("key"), state.alias("state"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
+@query("freeze_full_outer_all", "SELECT coalesce(c_custkey, o_custkey) AS key, CASE WHEN c_custkey IS NULL THEN 'extra' WHEN o_custkey IS NULL THEN 'missing' ELSE 'present' END AS state, coalesce(n, 0) AS n FROM customer FULL JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
+def freeze_full_outer_all(t):
+    """As freeze_full_outer, whose SQL asks for even keys only, for every customer."""
+    return _frozen(t("customer"), t("orders"))
+
+
 @query("stratified_hash_sample", "SELECT o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('42|' || o_orderkey), o_orderkey) AS rn FROM orders) WHERE rn <= 15")
 def stratified_hash_sample(t):
     order = W.partitionBy("o_orderpriority").orderBy(F.md5(F.concat(F.lit("42|"), F.col("o_orderkey").cast("string"))), "o_orderkey")
@@ -367,11 +377,22 @@ def filter_aggregates(t):
 @query("date_tolerance_join", """WITH r AS (SELECT o_orderkey, o_custkey AS k, o_orderdate::DATE AS d FROM orders WHERE o_orderkey % 50 = 0), f AS (SELECT o_orderkey AS filing, o_custkey AS k, o_orderdate::DATE AS e FROM orders),
 g AS (SELECT filing, k, e, e AS d2, false AS prior FROM f UNION ALL SELECT filing, k, e, (e - INTERVAL 12 MONTH)::DATE, true FROM f) SELECT r.o_orderkey, g.filing, g.prior FROM r JOIN g ON r.k = g.k AND abs(date_diff('day', g.d2, r.d)) <= 7""")
 def date_tolerance_join(t):
-    o = t("orders").select("o_orderkey", F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("d"))
-    hit = coverage.date_hits(o.filter("o_orderkey % 50 = 0"), o.select(F.col("o_orderkey").alias("filing"), "k", F.col("d").alias("e")), "k", "d", "e")
+    return _date_hits(t("orders"), "o_orderkey % 50 = 0")
+
+
+def _date_hits(orders: DataFrame, asked: str) -> DataFrame:
+    o = orders.select("o_orderkey", F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("d"))
+    hit = coverage.date_hits(o.filter(asked), o.select(F.col("o_orderkey").alias("filing"), "k", F.col("d").alias("e")), "k", "d", "e")
     return hit.select("o_orderkey", "filing", F.col("_prior").alias("prior"))
 
 
+@query("date_tolerance_join_all", """WITH f AS (SELECT o_orderkey, o_custkey AS k, o_orderdate::DATE AS e FROM orders),
+g AS (SELECT o_orderkey AS filing, k, e AS d2, false AS prior FROM f UNION ALL SELECT o_orderkey, k, (e - INTERVAL 12 MONTH)::DATE, true FROM f) SELECT r.o_orderkey, g.filing, g.prior FROM f r JOIN g ON r.k = g.k AND abs(date_diff('day', g.d2, r.e)) <= 7""")
+def date_tolerance_join_all(t):
+    """As date_tolerance_join, whose SQL asks for one order in fifty, for every order."""
+    return _date_hits(t("orders"), "true")
+
+
 @query("coverage_product", """WITH c AS (SELECT o_custkey AS ticker, year(o_orderdate) AS year FROM orders GROUP BY ALL), q AS (SELECT c_custkey AS qid, unnest([c_custkey, c_custkey + 1]) AS ticker FROM customer), t AS (SELECT qid, ticker, unnest([1995, 1996, 1997]) AS year FROM q)
 SELECT qid, count(t.ticker) AS targets, count(c.ticker) AS hits, CASE WHEN count(c.ticker) = count(t.ticker) THEN 'all_hit' WHEN count(c.ticker) = 0 THEN 'none' ELSE 'partial' END AS status FROM t LEFT JOIN c USING (ticker, year) GROUP BY qid""")
 def coverage_product(t):
