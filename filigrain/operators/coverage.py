@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window as W
 
@@ -36,10 +38,24 @@ def osa(a: str, b: str) -> int:
     return one[-1]
 
 
+def similarity(a: str, b: str) -> float:
+    """difflib's ratio of the matching stretches; 0 where the letters in common cannot reach RATIO."""
+    m = SequenceMatcher(None, a, b)
+    return m.ratio() if m.quick_ratio() >= RATIO else 0.0
+
+
 def resolve(names: DataFrame, aliases: DataFrame, most_aliases: int = 200_000) -> DataFrame:
     """(name, ticker, match) for names(name) against aliases(alias, ticker): the ticker itself, then the normal form,
-    then the closest alias within the edit limits (1 up to 7 letters, else 2; 5 letters at least), first alias on
-    ties. Fuzzy matching is blocked by length, so only aliases within two letters meet a name."""
+    then the alias with the highest SequenceMatcher ratio of RATIO or more, then the closest alias within the edit
+    limits (1 up to 7 letters, else 2); first alias on ties. Names and aliases of LEAST letters meet in the last two.
+
+    A ratio is twice the letters matched by the letters of both, so an alias that reaches it has a length of
+    RATIO / (2 - RATIO) to (2 - RATIO) / RATIO times the name's, and enough letters in common (quick_ratio). Two
+    edits fall outside that for short names only, so lengths within two letters are met as well."""
+    @F.pandas_udf("double")
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+
     @F.pandas_udf("int")
     def distance(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([osa(x, y) for x, y in zip(a, b)], dtype="int32")
@@ -47,14 +63,19 @@ def resolve(names: DataFrame, aliases: DataFrame, most_aliases: int = 200_000) -
     n = names.select("name").distinct().withColumn("_n", normal_name(F.col("name")))
     a = aliases.select("alias", "ticker").withColumn("_n", normal_name(F.col("alias")))
     t = aliases.select(F.upper("ticker").alias("_t"), "ticker").distinct()
-    exact = n.join(t, F.upper("name") == F.col("_t")).select("name", "ticker", F.lit(0).alias("tier"), F.lit(0).alias("d"), F.lit("").alias("alias"))
-    same = n.join(a, "_n").select("name", "ticker", F.lit(1).alias("tier"), F.lit(0).alias("d"), "alias")
-    long = n.filter(F.length("_n") >= LEAST).withColumn("_l", F.explode(F.sequence(F.length("_n") - 2, F.length("_n") + 2)))
-    near = long.join(a.withColumnRenamed("_n", "_m").withColumn("_l", F.length("_m")), "_l").withColumn("d", distance("_n", "_m"))
-    near = near.filter(F.col("d") <= F.when(F.length("_n") <= 7, 1).otherwise(2)).select("name", "ticker", F.lit(2).alias("tier"), "d", "alias")
+    exact = n.join(t, F.upper("name") == F.col("_t")).select("name", "ticker", F.lit(0).alias("tier"), F.lit(0.0).alias("d"), F.lit("").alias("alias"))
+    same = n.join(a, "_n").select("name", "ticker", F.lit(1).alias("tier"), F.lit(0.0).alias("d"), "alias")
+    size = F.length("_n")
+    low, high = F.least(size - 2, F.floor(size * (RATIO / (2 - RATIO)))), F.greatest(size + 2, F.ceil(size * ((2 - RATIO) / RATIO)))
+    long = n.filter(size >= LEAST).withColumn("_l", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
+    met = long.join(a.withColumnRenamed("_n", "_m").withColumn("_l", F.length("_m")).filter(F.col("_l") >= LEAST), "_l")
+    met = met.withColumn("_r", ratio("_n", "_m")).withColumn("_e", distance("_n", "_m"))
+    alike = F.col("_r") >= RATIO
+    met = met.filter(alike | (F.col("_e") <= F.when(size <= 7, 1).otherwise(2)))
+    near = met.select("name", "ticker", F.when(alike, 2).otherwise(3).alias("tier"), F.when(alike, -F.col("_r")).otherwise(F.col("_e").cast("double")).alias("d"), "alias")
     best = W.partitionBy("name").orderBy("tier", "d", "alias", "ticker")
     found = exact.union(same).union(near).withColumn("_i", F.row_number().over(best)).filter("_i = 1")
-    kind = F.element_at(F.array(F.lit("ticker"), F.lit("alias"), F.lit("fuzzy")), F.col("tier") + 1)
+    kind = F.element_at(F.array(F.lit("ticker"), F.lit("alias"), F.lit("fuzzy"), F.lit("fuzzy")), F.col("tier") + 1)
     return names.join(found.select("name", "ticker", kind.alias("match")), "name", "left")
 
 

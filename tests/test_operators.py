@@ -1,3 +1,5 @@
+import difflib
+
 from pyspark.sql import functions as F
 
 from filigrain.functions import text as T
@@ -39,6 +41,23 @@ def test_resolve(spark):
     assert got == {"msft": ("MSFT", "ticker"), "Mcirosoft Corp.": ("MSFT", "fuzzy"), "netflix inc": ("NFLX", "alias"), "zzz": (None, None)}
 
 
+def test_resolve_by_ratio(spark):
+    """The ratio comes before the edit distance, reaches further than two edits and keeps short aliases out."""
+    aliases = [("International Business Machines", "IBM"), ("Internatl Busines Machine", "IBX"), ("Parker Hannifin", "PH"), ("Netapp", "NTAP"), ("Nike", "NKE"), ("Apple", "AAPL")]
+    names = ["Internationel Bussiness Mashine", "Parker Hanifin Corporate", "Nikes", "Netpap", "Aplpe", "Appel", "Mapple", "zzzzz"]
+
+    def want(name):
+        close = [(-difflib.SequenceMatcher(None, name, a).ratio(), a, t) for a, t in ((a.lower(), t) for a, t in aliases) if len(a) >= 5]
+        if min(close)[0] <= -0.84:
+            return min(close)[2]
+        edits = [(coverage.osa(name, a), a, t) for _, a, t in close]
+        return min(edits)[2] if min(edits)[0] <= (1 if len(name) <= 7 else 2) else None
+
+    got = {r["name"]: r["ticker"] for r in coverage.resolve(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(aliases, "alias string, ticker string")).collect()}
+    assert got == {n: want(n.lower()) for n in names}
+    assert got["Internationel Bussiness Mashine"] == "IBM" and got["Nikes"] is None and got["Netpap"] == "NTAP"
+
+
 def test_rrf_ties_fall_to_position(spark):
     a = spark.createDataFrame([(1, 7, 1), (1, 3, 2)], "qid long, pos long, rank int")
     b = spark.createDataFrame([(1, 3, 1), (1, 7, 2)], "qid long, pos long, rank int")
