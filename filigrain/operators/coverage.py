@@ -5,18 +5,44 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from filigrain.functions.text import normal_name
 
 DAYS, RATIO, LEAST = 7, 0.84, 5
 
 
-def date_hits(requests: DataFrame, filings: DataFrame, key: str, date: str, period_end: str, days: int = DAYS) -> DataFrame:
+def last_year_end(year_end: Column, period_end: Column) -> Column:
+    """year_end, stepped back year by year until it is not after period_end; a 29 February steps to the 28th and
+    stays there."""
+    day = F.when((F.month(year_end) == 2) & (F.day(year_end) == 29), F.date_sub(year_end, 1)).otherwise(year_end)
+    years = F.greatest(F.year(year_end) - F.year(period_end), F.lit(0))
+    first = F.when(years == 0, year_end).otherwise(F.add_months(day, years * -12))
+    return F.when(first <= period_end, first).otherwise(F.add_months(day, (years + 1) * -12))
+
+
+def covered_dates(filings: DataFrame, key: str, period_end: str, form: str) -> DataFrame:
+    """filings with _dates: the period end, the same day a year earlier and, for a 10-Q of a key with a 10-K, the
+    last fiscal year end not after it."""
+    own = filings.filter(F.col(form) == "10-K").groupBy(key).agg(F.max(period_end).alias("_fy"))
+    end = F.col(period_end)
+    third = F.when(F.col(form) == "10-Q", last_year_end(F.col("_fy"), end))
+    dates = F.array_compact(F.array(end, F.add_months(end, -12), third))
+    return filings.join(own, key, "left").withColumn("_dates", dates).drop("_fy")
+
+
+def date_hits(requests: DataFrame, filings: DataFrame, key: str, date: str, period_end: str, days: int = DAYS, form: str | None = None) -> DataFrame:
     """Requests joined to the filings of their key whose period end, or the same day a year earlier, lies within
-    `days`: dates are bucketed by days + 1 and each side meets its own and the next buckets by an equi join."""
+    `days`: dates are bucketed by days + 1 and each side meets its own and the next buckets by an equi join.
+
+    With `form`, the column of filings' forms, a 10-Q also covers the last fiscal year end before it; a filing that
+    covers a date in two ways gives a row for each."""
     width = 2 * days + 1
-    ends = filings.withColumn("_d", F.explode(F.array(F.col(period_end), F.add_months(period_end, -12)))).withColumn("_prior", F.col("_d") != F.col(period_end))
+    if form:
+        ends = covered_dates(filings, key, period_end, form).withColumn("_d", F.explode("_dates")).drop("_dates")
+    else:
+        ends = filings.withColumn("_d", F.explode(F.array(F.col(period_end), F.add_months(period_end, -12))))
+    ends = ends.withColumn("_prior", F.col("_d") != F.col(period_end))
     ends = ends.withColumn("_b", F.floor(F.unix_date("_d") / width))
     asked = requests.withColumn("_b", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.unix_date(date) / width) + i)))
     return asked.join(ends, [key, "_b"]).filter(F.abs(F.datediff(date, "_d")) <= days).drop("_b", "_d")
@@ -80,7 +106,7 @@ def resolve(names: DataFrame, aliases: DataFrame, most_aliases: int = 200_000) -
 
 
 def plan(requests: DataFrame, filings: DataFrame) -> DataFrame:
-    """Targets of requests(qid, tickers, years) with hit or miss and the status of each request: every ticker with
+    """The product of tickers and years, by equality only; check has the whole rules. Targets of requests(qid, tickers, years) with hit or miss and the status of each request: every ticker with
     every year. Status: no_target, all_hit, none, partial."""
     targets = requests.select("qid", F.explode_outer("tickers").alias("ticker"), "years").select("qid", "ticker", F.explode_outer("years").alias("year"))
     have = filings.select("ticker", "year").distinct().withColumn("_hit", F.lit(1))
@@ -88,3 +114,68 @@ def plan(requests: DataFrame, filings: DataFrame) -> DataFrame:
     per = targets.join(have, ["ticker", "year"], "left").groupBy("qid").agg(F.count("ticker").alias("targets"), F.sum(hit).alias("hits"))
     status = F.when(F.col("targets") == 0, "no_target").when(F.col("hits") == F.col("targets"), "all_hit").when(F.col("hits") == 0, "none").otherwise("partial")
     return per.select("qid", "targets", "hits", status.alias("status"))
+
+
+def targets(requests: DataFrame, filings: DataFrame, combine: str = "product") -> DataFrame:
+    """qid, ticker, form, fiscal_year, fiscal_period, period_end, status (hit or miss) and the accessions that hit,
+    for requests(qid, tickers, forms, fiscal_years, fiscal_periods, period_ends: arrays, null or empty for any)
+    against filings(ticker, form, accession, period_end, fiscal_year, fiscal_period).
+
+    product: every ticker with every form, year, period and date. independent: every ticker with each date, each
+    pair of year and period, and each form on its own; with the ticker alone where nothing else is asked.
+    A filing of the next fiscal year covers a year, if it has the period asked for (or none is); an FY filing covers
+    Q4 of its year; dates as in covered_dates, within DAYS."""
+    if combine not in ("product", "independent"):
+        raise ValueError("combine must be 'product' or 'independent'")
+    kinds = {"form": "string", "fiscal_year": "int", "fiscal_period": "string", "period_end": "date"}
+    r = requests.select("qid", F.array_distinct("tickers").alias("tickers"), *[F.col(f"{c}s").cast(f"array<{k}>").alias(c) for c, k in kinds.items()])
+    r = r.withColumns({"form": F.transform("form", lambda v: F.regexp_replace(F.upper(v), "10([KQ])", "10-$1")), "fiscal_period": F.transform("fiscal_period", lambda v: F.upper(v))})
+
+    def some(c: str, want: bool):
+        """The values asked for; a single null where there are none or the part is left out."""
+        none = F.array(F.lit(None).cast(kinds[c]))
+        return F.when(F.coalesce(F.size(c), F.lit(0)) > 0, F.col(c)).otherwise(none) if want else none
+
+    def expand(parts: set[str]) -> DataFrame:
+        out = r.select("qid", F.explode("tickers").alias("ticker"), *[some(c, c in parts).alias(c) for c in kinds])
+        for c in kinds:
+            out = out.withColumn(c, F.explode(c))
+        return out
+
+    if combine == "product":
+        plan_ = expand(set(kinds))
+    else:
+        parts = [expand({"period_end"}), expand({"fiscal_year", "fiscal_period"}), expand({"form"})]
+        asked = [p.filter(F.coalesce(*[F.col(c).cast("string") for c in kinds]).isNotNull()) for p in parts]
+        empty = r.filter(F.greatest(*[F.coalesce(F.size(c), F.lit(0)) for c in kinds]) <= 0)
+        alone = empty.select("qid", F.explode("tickers").alias("ticker"), *[F.lit(None).cast(k).alias(c) for c, k in kinds.items()])
+        plan_ = asked[0].union(asked[1]).union(asked[2]).union(alone)
+    f = covered_dates(filings, "ticker", "period_end", "form").select("ticker", "accession", *[F.col(c).alias(f"_{c}") for c in kinds], "_dates")
+    year, period, day = F.col("fiscal_year"), F.col("fiscal_period"), F.col("period_end")
+    own = F.col("_fiscal_period")
+    fits_form = F.col("form").isNull() | (F.upper("_form") == F.col("form"))
+    next_year = (F.col("_fiscal_year") == year + 1) & (period.isNull() | (own == period))
+    fits_year = year.isNull() | (F.col("_fiscal_year") == year) | next_year
+    fits_period = period.isNull() | (own == period) | ((period == "Q4") & (own == "FY"))
+    fits_date = day.isNull() | (F.col("_period_end").isNotNull() & F.exists("_dates", lambda d: F.abs(F.datediff(d, day)) <= DAYS))
+    distinct = plan_.drop("qid").distinct()
+    hit = distinct.join(f, "ticker").filter(fits_form & fits_year & fits_period & fits_date)
+    hit = hit.groupBy("ticker", *kinds).agg(F.array_sort(F.collect_set("accession")).alias("accessions"))
+    same = F.lit(True)
+    p, h = plan_.alias("p"), hit.alias("h")
+    for c in ["ticker", *kinds]:
+        same = same & F.col(f"p.{c}").eqNullSafe(F.col(f"h.{c}"))
+    status = F.when(F.col("h.accessions").isNull(), "miss").otherwise("hit")
+    return p.join(h, same, "left").select("p.*", status.alias("status"), F.coalesce("h.accessions", F.array().cast("array<string>")).alias("accessions"))
+
+
+def check(requests: DataFrame, filings: DataFrame, combine: str = "product") -> DataFrame:
+    """qid, targets, hits, status and the accessions that hit, per request. requests as in targets, with unresolved,
+    an array of names that are no company, where there may be such. Status: no_target, unresolved, all_hit, none,
+    partial."""
+    unresolved = F.coalesce(F.size("unresolved"), F.lit(0)) if "unresolved" in requests.columns else F.lit(0)
+    per = targets(requests, filings, combine).groupBy("qid").agg(F.count(F.lit(1)).alias("targets"), F.count_if(F.col("status") == "hit").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("accessions")))).alias("accessions"))
+    j = requests.select("qid", F.greatest(unresolved, F.lit(0)).alias("_u")).join(per, "qid", "left")
+    n, hits = F.coalesce("targets", F.lit(0)), F.coalesce("hits", F.lit(0))
+    status = F.when((n == 0) & (F.col("_u") == 0), "no_target").when(n == 0, "unresolved").when((hits == n) & (F.col("_u") == 0), "all_hit").when(hits == 0, "none").otherwise("partial")
+    return j.select("qid", n.alias("targets"), hits.alias("hits"), status.alias("status"), F.coalesce("accessions", F.array().cast("array<string>")).alias("accessions"))

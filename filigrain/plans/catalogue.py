@@ -401,6 +401,29 @@ def coverage_product(t):
     return coverage.plan(requests, filings)
 
 
+def _check(t, combine: str) -> DataFrame:
+    """Orders as filings (a quarter of them 10-K), fiscal years end on 30 June; requests ask for forms, years,
+    periods and dates of two customers each."""
+    annual = F.col("o_orderkey") % 4 == 0
+    day = F.to_date("o_orderdate")
+    l = T.fiscal_label(day, F.lit(6), F.lit(30), annual)
+    filings = t("orders").select(F.col("o_custkey").alias("ticker"), F.when(annual, "10-K").otherwise("10-Q").alias("form"), F.col("o_orderkey").cast("string").alias("accession"), day.alias("period_end"), l["fiscal_year"].cast("int").alias("fiscal_year"), l["fiscal_period"].alias("fiscal_period"))
+    key = F.col("c_custkey")
+    requests = t("customer").select(key.alias("qid"), F.array(key, key + 1).alias("tickers"), F.when(key % 3 == 0, F.array(F.lit("10-K"), F.lit("10Q"))).alias("forms"), F.array(F.lit(1995), F.lit(1996)).alias("fiscal_years"), F.when(key % 2 == 0, F.array(F.lit("Q2"), F.lit("Q4"))).alias("fiscal_periods"), F.when(key % 5 == 0, F.array(F.make_date(F.lit(1995), F.lit(6), F.lit(30)))).alias("period_ends"))
+    return coverage.check(requests, filings, combine).withColumn("accessions", F.array_join("accessions", ","))
+
+
+@query("coverage_check_product")
+def coverage_check_product(t):
+    """coverage_product by all of the match rules; its SQL has equality of company and year only."""
+    return _check(t, "product")
+
+
+@query("coverage_check_independent")
+def coverage_check_independent(t):
+    return _check(t, "independent")
+
+
 @query("alias_resolution")
 def alias_resolution(t):
     aliases = t("nation").select(F.col("n_name").alias("alias"), F.col("n_nationkey").cast("string").alias("ticker"))

@@ -1,5 +1,8 @@
+import datetime
 import difflib
+import itertools
 
+import pytest
 from pyspark.sql import functions as F
 
 from filigrain.functions import text as T
@@ -58,6 +61,63 @@ def test_resolve_by_ratio(spark):
     assert got["Internationel Bussiness Mashine"] == "IBM" and got["Nikes"] is None and got["Netpap"] == "NTAP"
 
 
+@pytest.mark.parametrize("combine", ["product", "independent"])
+def test_coverage_rules(spark, combine):
+    """Against the rules written as loops over every target and filing."""
+    D = datetime.date
+    filings = [("A", "10-K", "a1", D(2024, 2, 29), 2024, "FY"), ("A", "10-Q", "a2", D(2023, 5, 31), 2023, "Q1"), ("A", "10-Q", "a3", D(2024, 8, 31), 2025, "Q2"), ("B", "10-K", "b1", D(2025, 12, 31), 2025, "FY"), ("B", "10-Q", "b2", None, 2025, "Q3"), ("C", "10-Q", "c1", D(2025, 3, 31), 2025, "Q1")]
+    asks = {
+        1: (["A"], None, [2023], None, None), 2: (["A", "B"], ["10k", "10-Q"], [2024], ["Q4", "Q2"], None), 3: (["A"], ["10-Q"], None, None, [D(2023, 2, 28), D(2022, 2, 28), D(2022, 2, 20)]),
+        4: (["C", "B"], None, None, ["Q1", "FY"], [D(2024, 12, 31), D(2025, 3, 26)]), 5: (["B"], None, None, None, None), 6: ([], None, [2024], None, None), 7: (["Z"], None, [2024, 2025], None, None), 8: (["A"], ["10-K"], [2023], ["Q4"], None), 9: (["B"], None, [2024], ["FY"], []),
+    }
+    unresolved = {6: ["Tesla"], 5: ["Tesla"]}
+
+    def back(d):
+        return d.replace(year=d.year - 1, day=28 if (d.month, d.day) == (2, 29) else d.day)
+
+    def match(f, form, fy, fp, pe):
+        t, own, _, end, year, period = f
+        if form and own != form or fy is not None and year != fy and not (year == fy + 1 and fp in (None, period)) or fp and period != fp and (fp, period) != ("Q4", "FY"):
+            return False
+        if pe is None:
+            return True
+        if end is None:
+            return False
+        dates, last = [end, back(end)], max((g[3] for g in filings if g[0] == t and g[1] == "10-K"), default=None)
+        if own == "10-Q" and last:
+            while last > end:
+                last = back(last)
+            dates.append(last)
+        return any(abs((d - pe).days) <= 7 for d in dates)
+
+    want = {}
+    for q, (tickers, forms, years, periods, days) in asks.items():
+        forms = [x.upper().replace("10K", "10-K") for x in forms or []]
+        if combine == "product":
+            plan = list(itertools.product(forms or [None], years or [None], periods or [None], days or [None]))
+        else:
+            plan = [(None, None, None, d) for d in days or []] + [(None, y, p, None) for y, p in itertools.product(years or [None], periods or [None]) if y or p] + [(f, None, None, None) for f in forms]
+            plan = plan or [(None,) * 4]
+        for t in tickers:
+            for p in plan:
+                want[(q, t, *p)] = sorted(f[2] for f in filings if f[0] == t and match(f, *p))
+    kind = "array<string>"
+    requests = spark.createDataFrame([(q, *v, unresolved.get(q)) for q, v in asks.items()], f"qid long, tickers {kind}, forms {kind}, fiscal_years array<int>, fiscal_periods {kind}, period_ends array<date>, unresolved {kind}")
+    df = spark.createDataFrame(filings, "ticker string, form string, accession string, period_end date, fiscal_year int, fiscal_period string")
+    rows = coverage.targets(requests, df, combine).collect()
+    assert len(rows) == len(want) and {tuple(r)[:6]: r["accessions"] for r in rows} == want
+    assert all((r["status"] == "hit") == bool(r["accessions"]) for r in rows)
+    status = {r["qid"]: r["status"] for r in coverage.check(requests, df, combine).collect()}
+    assert status[1] == "all_hit" and status[5] == "partial" and status[6] == "unresolved" and status[7] == "none"
+
+
+def test_last_year_end_of_a_10q(spark):
+    D = datetime.date
+    f = spark.createDataFrame([("A", "10-K", D(2025, 6, 30)), ("A", "10-Q", D(2024, 9, 30))], "k string, form string, e date")
+    asked = spark.createDataFrame([("A", D(2024, 7, 2))], "k string, d date")
+    assert [r["form"] for r in coverage.date_hits(asked, f.filter("form = '10-Q'").union(f.filter("form = '10-K'")), "k", "d", "e", form="form").orderBy("form").collect()] == ["10-K", "10-Q"]
+
+
 def test_rrf_ties_fall_to_position(spark):
     a = spark.createDataFrame([(1, 7, 1), (1, 3, 2)], "qid long, pos long, rank int")
     b = spark.createDataFrame([(1, 3, 1), (1, 7, 2)], "qid long, pos long, rank int")
