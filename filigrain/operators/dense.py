@@ -22,12 +22,19 @@ def unit(v: Column) -> Column:
 def dense(vectors: DataFrame, query_vectors: DataFrame, candidates: int = 100, most_queries: int = 10_000) -> DataFrame:
     """(qid, pos, score, rank) of query_vectors(qid, vec) against vectors(pos, embedding).
 
-    The query set is stated and bounded, so its vectors go to every block of rows; a larger set is refused and has
-    to come in several calls."""
-    if query_vectors.limit(most_queries + 1).count() > most_queries:
-        raise ValueError(f"more than {most_queries} query vectors in one call")
-    pairs = vectors.join(F.broadcast(query_vectors))
-    return top(pairs.select("qid", "pos", dot(F.col("embedding"), F.col("vec")).alias("score")), candidates, positive=False)
+    Query vectors go to every block of rows, so they are sent in blocks of about `most_queries`, cut by a hash of
+    qid, and the blocks' results are put together."""
+    blocks = max(1, -(-query_vectors.count() // most_queries))
+    block = F.pmod(F.xxhash64("qid"), F.lit(blocks))
+
+    def ranked(queries: DataFrame) -> DataFrame:
+        pairs = vectors.join(F.broadcast(queries))
+        return top(pairs.select("qid", "pos", dot(F.col("embedding"), F.col("vec")).alias("score")), candidates, positive=False)
+
+    out = ranked(query_vectors.filter(block == 0) if blocks > 1 else query_vectors)
+    for i in range(1, blocks):
+        out = out.union(ranked(query_vectors.filter(block == i)))
+    return out
 
 
 def dense_numpy(vectors: DataFrame, query_vectors: DataFrame, candidates: int = 100) -> DataFrame:

@@ -109,3 +109,10 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     assert out.count() > 0 and out.exceptAll(batch).count() == 0
     # only windows that the watermark has not closed are still open
     assert batch.exceptAll(out).select(F.min("start")).first()[0] >= out.select(F.max("start")).first()[0]
+
+
+def test_dense_takes_any_number_of_queries(spark):
+    made = spark.range(40).select(F.col("id").alias("pos"), F.array(F.cos("id"), F.sin("id")).alias("embedding"))
+    asked = made.select(F.col("pos").alias("qid"), F.col("embedding").alias("vec"))
+    whole = sorted(map(tuple, dense.dense(made, asked, 5).collect()))
+    assert len(whole) == 200 and sorted(map(tuple, dense.dense(made, asked, 5, most_queries=7).collect())) == whole
