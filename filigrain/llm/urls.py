@@ -23,10 +23,10 @@ RULES = (
     Rule("block", "net", "/es/"),
     Rule("block", "net", "/fr/"),
 )
-#: Labelled URLs that training reads at most, taken in the order of a hash of the URL.
+#: Distinct labelled URLs that training reads at most, in the order of a hash; each weighs as many rows as it has.
 TRAIN_ROWS = 20_000
-#: Suffixes with statistics of their own, the most frequent among labelled URLs; others count as one.
-SUFFIXES = 200
+#: Rows of statistics that are broadcast at most; larger tables are merged.
+SMALL = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters whose shares make up the entropy; all others count as one more.
 ALPHABET = LOWER + "0123456789" + "-._~/?#&=%+:@"
@@ -55,6 +55,14 @@ def rule_column(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
     return out
 
 
+def suffix_of(host: Column) -> Column:
+    return F.substring_index(host, ".", -1)
+
+
+def section_of(path: Column) -> Column:
+    return F.substring_index(F.substring(path, 2, 2_000_000_000), "/", 1)
+
+
 def _count(text: Column, c: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))).cast("double")
 
@@ -90,26 +98,36 @@ def lexical(df: DataFrame) -> DataFrame:
         _count(url, "#").alias("fragment"),
         (_count(F.col("host"), "-")).alias("dashes"),
         F.length(F.substring_index(F.col("path"), "/", -1)).cast("double").alias("last_length"),
-        F.substring_index(F.col("host"), ".", -1).alias("suffix"),
-        F.substring_index(F.substring(F.col("path"), 2, 2_000_000_000), "/", 1).alias("section"),
+        suffix_of(F.col("host")).alias("suffix"),
+        section_of(F.col("path")).alias("section"),
     )
 
 
 def shares(rows: DataFrame, name: str) -> DataFrame:
-    """Share and smoothed allow rate of the SUFFIXES most frequent values of a column among labelled rows."""
-    n = F.count(F.lit(1))
-    t = rows.groupBy(name).agg(n.alias("_n"), F.sum("label").alias("_a"))
-    all_ = rows.agg(n.alias("_all"), F.avg("label").alias("_rate"))
-    t = t.orderBy(F.desc("_n"), name).limit(SUFFIXES).crossJoin(F.broadcast(all_))  # all_ is one row
+    """Share and smoothed allow rate of every value of a column among labelled rows (label, _copies)."""
+    n, allowed = F.sum("_copies"), F.sum(F.col("label") * F.col("_copies"))
+    t = rows.groupBy(name).agg(n.alias("_n"), allowed.alias("_a"))
+    all_ = rows.agg(n.alias("_all"), (allowed / n).alias("_rate"))
+    t = t.crossJoin(F.broadcast(all_))  # all_ is one row
     return t.select(name, (F.col("_n") / F.col("_all")).alias(f"{name}_share"), ((F.col("_a") + F.col("_rate")) / (F.col("_n") + 1)).alias(f"{name}_allowed"))
 
 
 def with_shares(rows: DataFrame, tables: dict[str, DataFrame], rate: float) -> DataFrame:
-    for name, t in tables.items():  # at most SUFFIXES rows each
-        rows = rows.join(F.broadcast(t), name, "left").fillna({f"{name}_share": 0.0, f"{name}_allowed": rate})
+    for name, t in tables.items():
+        rows = rows.join(t, name, "left").fillna({f"{name}_share": 0.0, f"{name}_allowed": rate})
     return rows
 
 
+def training(urls: DataFrame) -> DataFrame:
+    """The first TRAIN_ROWS of distinct labelled urls by hash, and as many of the other label if they have but one."""
+    def first(some: DataFrame) -> DataFrame:
+        return written(lexical(some.orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS)), "urls")
+
+    train = first(urls)
+    low, high = train.agg(F.min("label"), F.max("label")).first()
+    return train.unionByName(first(urls.filter(F.col("label") != low))) if low == high else train
+
+
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, trees: int = 12, depth: int = 4) -> DataFrame:
     """page_id, host, path, rule, verdict, allowed for every row; allowed is the trees' probability, null where a
     rule decides.
@@ -121,18 +139,20 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, trees: int = 12, de
     rows = pages.select(column_or_null(pages, "page_id", "long").alias("page_id"), url.alias("url")).withColumns({"host": F.coalesce(host_of(F.col("url")), F.lit("")), "path": F.coalesce(path_of(F.col("url")), F.lit(""))})
     rows = rows.withColumn("_rule", rule_column(F.col("host"), F.col("path"), rules))
     labelled = rows.filter("_rule IS NOT NULL").select("url", "host", "path", F.when(F.col("_rule.verdict") == "allow", 1.0).otherwise(0.0).alias("label"))
-    train = written(lexical(labelled.orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS)), "urls")
-    n, rate = train.agg(F.count(F.lit(1)), F.avg("label")).first()
+    known = written(labelled.groupBy("url", "host", "path", "label").agg(F.count(F.lit(1)).cast("double").alias("_copies")), "labelled")
+    n, rate = known.agg(F.count(F.lit(1)), F.sum(F.col("label") * F.col("_copies")) / F.sum("_copies")).first()
     ruled = rows.filter("_rule IS NOT NULL").select("page_id", "host", "path", F.col("_rule.text").alias("rule"), F.col("_rule.verdict").alias("verdict"), F.lit(None).cast("double").alias("allowed"))
     free = rows.filter("_rule IS NULL")
     if not n or rate in (0.0, 1.0):
         rate = 1.0 if not n else rate
         other = free.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit("allow" if rate else "block").alias("verdict"), F.lit(rate).alias("allowed"))
         return ruled.unionByName(other)
-    tables = {c: written(shares(train, c), c) for c in ("suffix", "section")}
+    seen = known.select("label", "_copies", suffix_of(F.col("host")).alias("suffix"), section_of(F.col("path")).alias("section"))
+    tables = {c: written(shares(seen, c), c) for c in ("suffix", "section")}
+    tables = {c: F.broadcast(t) if t.limit(SMALL + 1).count() <= SMALL else t.hint("merge") for c, t in tables.items()}
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    known = assemble.transform(with_shares(train, tables, rate)).select("features", "label")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, cacheNodeIds=False).fit(known.coalesce(4))
+    train = assemble.transform(with_shares(training(known), tables, rate)).select("features", "label", "_copies")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, cacheNodeIds=False, weightCol="_copies").fit(train.coalesce(4))
     judged = model.transform(assemble.transform(with_shares(lexical(free), tables, rate)))
     allowed = vector_to_array("probability")[1]
     other = judged.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.when(allowed >= 0.5, "allow").otherwise("block").alias("verdict"), allowed.alias("allowed"))

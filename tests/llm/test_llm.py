@@ -269,6 +269,23 @@ def test_url_parts_and_rules(spark):
     assert {r["verdict"] for r in got.values()} == {"allow", "block"}
 
 
+def test_copies_of_one_url_do_not_fill_the_training_rows(spark, monkeypatch):
+    monkeypatch.setattr(urls, "TRAIN_ROWS", 10)
+    made = [f"http://a.com/en/{i}" for i in range(20)] + [f"http://b.net/fr/{i}" for i in range(20)]
+    first = spark.createDataFrame([(u,) for u in made], "url string").selectExpr("url", "xxhash64(url) AS h").orderBy("h").first()["url"]
+    free = ["http://a.org/en/1", "http://b.org/fr/1"]
+    rows = list(enumerate(made + [first] * 30 + free))
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert len(got) == len(rows)
+    assert got[len(rows) - 2]["verdict"] == "allow" and got[len(rows) - 1]["verdict"] == "block"
+
+
+def test_every_labelled_value_has_statistics(spark):
+    rows = spark.range(900).selectExpr("'p' || id % 300 AS section", "double(id % 2) AS label", "double(1) AS _copies")
+    got = urls.shares(rows, "section").collect()
+    assert len(got) == 300 and all(abs(r["section_share"] - 1 / 300) < 1e-12 for r in got)
+
+
 def test_mix(odd):
     got = mixing.mix(odd).toPandas()
     assert len(got) == len(ROWS) and (got.taken <= 2 * got["size"]).all()
