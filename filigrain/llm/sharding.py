@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from filigrain.llm.common import below, column_or_null, global_rank
+from filigrain.llm.common import below, column_or_null, global_rank, ranked_parts
 
 BITS = 6
 
@@ -40,21 +40,36 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def string_code(c: Column) -> Column:
-    """First seven UTF-8 bytes as a number, so that code order is string order up to there; null is -1."""
-    head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1).cast("long"))
+def string_bounds(values: DataFrame, bits: int) -> tuple[list[str], bool]:
+    """Quantile bounds of the strings of values(v), at most 2**bits - 1, from the counts of whole distinct strings in
+    byte order after the nulls; and whether the nulls reach the first quantile."""
+    cells = 1 << bits
+    n, nulls = values.agg(F.count(F.lit(1)), F.count_if(F.col("v").isNull())).first()
+    distinct = values.filter("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("_n"))
+    rows = ranked_parts(distinct, F.col("v"), name="strings")
+    sums = rows.groupBy("_part").agg(F.sum("_n").alias("_s"))
+    base = sums.select("_part", F.coalesce(F.sum("_s").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_base"))  # one row a partition
+    upto = rows.join(F.broadcast(base), "_part").withColumn("_end", F.col("_base") + F.sum("_n").over(W.partitionBy("_part").orderBy("_idx")) + nulls)
+    marks = upto.select("v", F.floor((F.col("_end") - F.col("_n")) * cells / max(n, 1)).alias("a"), F.floor(F.col("_end") * cells / max(n, 1)).alias("b"))
+    found = marks.filter((F.col("b") > F.col("a")) & (F.col("a") < cells - 1)).select("v").collect()  # below 2**bits rows
+    return sorted((r["v"] for r in found), key=lambda v: v.encode()), n > 0 and nulls * cells >= n
 
 
 def quantised(df: DataFrame, dims: dict[str, Column], bits: int = BITS) -> DataFrame:
-    """df with _q: per dimension the number of quantile bounds (at most 2**bits - 1, from one bounded summary) below
-    or at the value. A value that holds many rows takes one cell."""
+    """df with _q: per dimension the number of quantile bounds (at most 2**bits - 1) below or at the value. Numbers
+    take them from one bounded summary, strings from the counts of their whole values, nulls first. A value that
+    holds many rows takes one cell."""
     marks = [i / (1 << bits) for i in range(1, 1 << bits)]
-    found = df.agg(*[F.percentile_approx(c, marks, 10_000).alias(n) for n, c in dims.items()]).first()
+    strings = {n for n, kind in df.select(*[c.alias(n) for n, c in dims.items()]).dtypes if kind == "string"}
+    numbers = [F.percentile_approx(c, marks, 10_000).alias(n) for n, c in dims.items() if n not in strings]
+    found = df.agg(*numbers).first() if numbers else {}
     cells = []
     for name, c in dims.items():
-        bounds = sorted({int(v) for v in (found[name] or [])})
-        cells.append(below(c, bounds))
+        if name in strings:
+            bounds, apart = string_bounds(df.select(c.alias("v")), bits)
+            cells.append(F.when(c.isNull(), 0).otherwise(below(c, bounds) + int(apart)))
+        else:
+            cells.append(below(c, sorted({int(v) for v in (found[name] or [])})))
     return df.withColumn("_q", F.array(*cells))
 
 
@@ -82,7 +97,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, bits: int = BITS) -> DataF
         column_or_null(docs, "lang", "string").alias("lang"),
         column_or_null(docs, "source", "string").alias("source"),
     )
-    dims = {"a": string_code(F.col("lang")), "b": string_code(F.col("source")), "c": F.col("size")}
+    dims = {"a": F.col("lang"), "b": F.col("source"), "c": F.col("size")}
     ranked = global_rank(hilbert_order(rows, dims, bits), F.col("_curve"), F.col("doc_id"), F.col("text_crc32"), F.col("size"), name="hilbert")
     n = ranked.count()
     base, more = divmod(n, shards)

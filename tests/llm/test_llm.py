@@ -254,6 +254,14 @@ def test_shards(odd):
     assert sorted(zip(got["size"], got.text_crc32)) == sorted((len(t) + 1, zlib.crc32(t)) for t in texts)
 
 
+def test_sources_with_a_common_beginning_take_cells_of_their_own(spark):
+    values = [f"https://host/{i:03}" for i in range(64)] * 2 + [None] * 2
+    df = spark.createDataFrame([(v,) for v in values], "source string")
+    cell = {r["source"]: r["_q"][0] for r in sharding.quantised(df, {"b": df["source"]}).collect()}
+    named = [cell[v] for v in sorted(v for v in cell if v)]
+    assert cell[None] == 0 and named == sorted(named) and max(named) < 64 and len(set(named)) >= 62
+
+
 def test_url_parts_and_rules(spark):
     rows = [
         (1, "https://WWW.Example.com/en/1?x#y"), (2, "http://a.example.com/en/"), (3, "http://xexample.com/en/"), (4, "http://b.net/fr/q"),
