@@ -61,9 +61,23 @@ def spellings(value: Column) -> Column:
         F.format_number(value.cast("long"), 0),
         F.format_number(F.floor(value / 1e6 + 0.5).cast("long"), 0),
         F.format_number(F.floor(value / 1e3 + 0.5).cast("long"), 0),
+        F.format_number(value.cast("double") / 1e6, 1),
     )
 
 
+def unit_spellings(value: Column, unit: Column) -> Column:
+    """Ways a figure of a unit may be printed, without its sign: USD in millions, thousands and one decimal of millions;
+    USD/shares with two decimals; pure as a percent with no and one decimal; others grouped."""
+    v = F.abs(value.cast("double"))
+
+    def plain(x: Column, places: int) -> Column:
+        return F.replace(F.format_number(x, places), F.lit(","), F.lit(""))
+
+    usd = F.array(F.format_number(v / 1e6, 0), F.format_number(v / 1e3, 0), F.format_number(v / 1e6, 1))
+    percent = F.array(*[F.concat(plain(v * 100, p), F.lit("%")) for p in (0, 1)])
+    return F.when(unit == "USD", usd).when(unit == "USD/shares", F.array(plain(v, 2))).when(unit == "pure", percent).otherwise(F.array(F.format_number(v, 0)))
+
+
 def prose_numbers(text: Column) -> Column:
     """Currency and percent figures in prose; bare numbers and years are left out."""
     return F.regexp_extract_all(text, F.lit(r"\$\d[\d,]*(?:\.\d+)?|\d+(?:\.\d+)?%"), F.lit(0))

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window as W
 
 
-def score(results: DataFrame, hits: DataFrame, ks: tuple[int, ...] = (5, 10)) -> DataFrame:
+def score(results: DataFrame, hits: DataFrame, ks: tuple[int, ...] = (5, 10), expected: DataFrame | None = None) -> DataFrame:
     """Per qid: mrr, and for each k evidence_recall, hit. results(qid, rank, pos); hits(qid, item, pos): which chunk
-    satisfies which evidence item; items without any chunk have a null pos."""
+    satisfies which evidence item; items without any chunk have a null pos.
+
+    With expected(qid, pos), the chunks whose metadata are as expected (a null pos where a query expects what no chunk
+    has), also provenance per k: their share of the first k results, null without an expectation or results."""
     items = hits.groupBy("qid").agg(F.count_distinct("item").alias("_items"))
     found = hits.join(results, ["qid", "pos"]).groupBy("qid", "item").agg(F.min("rank").alias("r"))
     per = found.groupBy("qid").agg(F.min("r").alias("first"), *[F.count_if(F.col("r") <= k).alias(f"_n{k}") for k in ks])
@@ -16,6 +19,12 @@ def score(results: DataFrame, hits: DataFrame, ks: tuple[int, ...] = (5, 10)) ->
     for k in ks:
         n = F.coalesce(F.col(f"_n{k}"), F.lit(0))
         out += [F.round(n / F.col("_items"), 4).alias(f"evidence_recall_{k}"), (n > 0).cast("long").alias(f"hit_{k}")]
+    if expected is not None:
+        want = expected.select("qid", "pos").distinct()
+        mine = results.join(want.select("qid").distinct(), "qid").join(want.withColumn("_m", F.lit(1)), ["qid", "pos"], "left")
+        share = [F.round(F.try_divide(F.count_if((F.col("rank") <= k) & F.col("_m").isNotNull()), F.count_if(F.col("rank") <= k)), 4).alias(f"provenance_{k}") for k in ks]
+        j = j.join(mine.groupBy("qid").agg(*share), "qid", "left")
+        out += [F.col(f"provenance_{k}") for k in ks]
     return j.select("qid", *out)
 
 

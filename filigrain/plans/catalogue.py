@@ -248,11 +248,11 @@ sc AS (SELECT it.qid, round(coalesce(1.0 / first, 0), 4)::DOUBLE AS mrr, round(c
 """
 
 
-def _scores(t) -> DataFrame:
+def _scores(t, expected: DataFrame | None = None) -> DataFrame:
     """A document satisfies a benchmark item when it contains its text. Benchmark items are the stated query set."""
     items = t("benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("needle"))
     hits = items.join(_docs(t).select("pos", "text"), F.contains("text", "needle"), "left").select("qid", F.col("qid").alias("item"), "pos")
-    return evaluate.score(lexical.bm25(_docs(t), _benchmark(t)), hits)
+    return evaluate.score(lexical.bm25(_docs(t), _benchmark(t)), hits, expected=expected)
 
 
 @query("gold_contains_eval", f"{_EVAL} SELECT * FROM sc")
@@ -260,6 +260,14 @@ def gold_contains_eval(t):
     return _scores(t)
 
 
+@query("gold_provenance_eval")
+def gold_provenance_eval(t):
+    """gold_contains_eval, whose SQL leaves it out, with provenance: every item expects English documents."""
+    english = _docs(t).filter("lang = 'en'").select("pos")
+    found = lexical.bm25(_docs(t), _benchmark(t)).join(english, "pos").select("qid", "pos")
+    return _scores(t, found.union(_benchmark(t).select("qid", F.lit(None).cast("long"))))
+
+
 @query("eval_summary_grouping_sets", f"{_EVAL} SELECT CASE WHEN grouping(tier) = 1 THEN 'ALL' ELSE tier END AS tier, count(*) AS n, round(avg(mrr), 4) AS mrr, round(avg(hit_10), 4) AS hit_10 FROM (SELECT *, 't' || (qid % 3) AS tier FROM sc) GROUP BY GROUPING SETS ((tier), ())")
 def eval_summary(t):
     s = _scores(t).withColumn("tier", F.concat(F.lit("t"), (F.col("qid") % 3).cast("string")))
@@ -450,6 +458,13 @@ def figure_spellings(t):
     return t("orders").select("o_orderkey", T.spellings(F.col("o_totalprice")).alias("s")).select("o_orderkey", F.col("s")[0].alias("whole"), F.col("s")[2].alias("thousands"))
 
 
+@query("figure_spellings_by_unit")
+def figure_spellings_by_unit(t):
+    """Every spelling, of which figure_spellings' SQL asks for two, and those by unit."""
+    price, unit = F.col("o_totalprice"), F.element_at(F.array(F.lit("USD"), F.lit("USD/shares"), F.lit("pure"), F.lit("shares")), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return t("orders").select("o_orderkey", F.array_join(T.spellings(price), "|").alias("spellings"), unit.alias("unit"), F.array_join(T.unit_spellings(price, unit), "|").alias("by_unit"))
+
+
 @query("significant_digits", "SELECT l_orderkey, l_linenumber, len(ltrim(rtrim(round(l_extendedprice, 0)::BIGINT::VARCHAR, '0'), '0')) AS digits FROM lineitem")
 def significant_digits(t):
     return t("lineitem").select("l_orderkey", "l_linenumber", T.significant_digits(F.format_number(F.round("l_extendedprice", 0).cast("long"), 0)).alias("digits"))

@@ -19,6 +19,22 @@ def test_numbers(spark):
         assert (got["value"], got["percent"]) == (value, percent), printed
 
 
+def test_spellings_by_unit(spark):
+    cases = {("USD", 12_345_678.0): ["12", "12,346", "12.3"], ("pure", 0.1234): ["12%", "12.3%"], ("shares", 1234567.0): ["1,234,567"]}
+    cases[("USD/shares", -1234.565)] = [f"{1234.565:.2f}"]
+    for (unit, value), want in cases.items():
+        assert one(spark, T.unit_spellings(F.lit(value), F.lit(unit))) == want
+    assert one(spark, T.spellings(F.lit(12_345_678.0)))[3] == "12.3"
+
+
+def test_provenance(spark):
+    results = spark.createDataFrame([(1, 1, 7), (1, 2, 8), (1, 3, 9), (2, 1, 7)], "qid long, rank int, pos long")
+    hits = spark.createDataFrame([(1, 1, 8), (2, 1, 7), (3, 1, None), (4, 1, None)], "qid long, item long, pos long")
+    expected = spark.createDataFrame([(1, 7), (1, 9), (1, 99), (3, 7), (2, None)], "qid long, pos long")
+    got = {r["qid"]: (r["provenance_2"], r["provenance_5"]) for r in evaluate.score(results, hits, (2, 5), expected).collect()}
+    assert got == {1: (0.5, 0.6667), 2: (0.0, 0.0), 3: (None, None), 4: (None, None)}
+
+
 def test_section_prefix(spark):
     for section, hit in (("Part I Item 2", True), ("Part II Item 1", False), ("part  i", True), (None, False)):
         assert one(spark, T.section_matches(F.lit(section).cast("string"), ["Part I"])) is hit
