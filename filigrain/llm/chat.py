@@ -91,6 +91,16 @@ def swapped_answers(turns: DataFrame) -> DataFrame:
     return c.select(F.col("conv_id").alias("pair_id"), F.slice("turns", F.lit(1), F.col("_last")).alias("chosen"), F.concat(head, other).alias("rejected"))
 
 
+def trailing_turns(turns: DataFrame) -> DataFrame:
+    """pair_id, trailing_turns, trailing for every conversation: how many turns follow the last assistant turn, and their
+    rendered text. They have no answer to learn from, so swapped_answers leaves them out of chosen."""
+    c = conversations(turns)
+    last = F.array_max(F.transform("turns", lambda x, i: F.when(x["role"] == "assistant", i + 1)))
+    c = c.select("conv_id", F.slice("turns", F.coalesce(last, F.size("turns")) + 1, F.size("turns")).alias("t"))
+    text = F.transform("t", lambda x: F.concat(F.lit(OPEN), x["role"], F.lit(BREAK), x["text"], F.lit(CLOSE)))
+    return c.select(F.col("conv_id").alias("pair_id"), F.size("t").cast("long").alias("trailing_turns"), F.array_join(text, "").alias("trailing"))
+
+
 def op1(turns: DataFrame) -> DataFrame:
     def text(mask: str):
         return F.array_join(F.transform(mask, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string"))), ",")

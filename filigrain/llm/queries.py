@@ -17,6 +17,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op1(table(spark, sf_dir, "conversations"))
 
 
+def op1_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.trailing_turns(table(spark, sf_dir, "conversations"))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op2(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_trees": op8,
         "op9_weighted_mix": op9,
         "op10_fourier_quality": op10,
+        "op1_trailing_turns": op1_trailing,
     }
 
 

@@ -254,6 +254,12 @@ def test_shards(odd):
     assert sorted(zip(got["size"], got.text_crc32)) == sorted((len(t) + 1, zlib.crc32(t)) for t in texts)
 
 
+def test_turns_after_the_last_answer_are_kept(spark):
+    rows = [(1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", "c"), (1, 4, None, "d"), (2, 1, "user", "x"), (3, 1, "user", "y"), (3, 2, "assistant", "z")]
+    got = {r["pair_id"]: (r["trailing_turns"], r["trailing"]) for r in chat.trailing_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {1: (2, "".join(chat.render({"role": "user", "text": t}) for t in "cd")), 2: (0, ""), 3: (0, "")}
+
+
 def test_sources_with_a_common_beginning_take_cells_of_their_own(spark):
     values = [f"https://host/{i:03}" for i in range(64)] * 2 + [None] * 2
     df = spark.createDataFrame([(v,) for v in values], "source string")
