@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -15,17 +16,32 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one of our own only where that is unset."""
+    """The shared folder of spark.checkpoint.dir. Where that is unset, a local master has a temporary one of its own;
+    on a cluster executors could not see it, so there the setting is required."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:  # a core setting, which a running session cannot take
-        root = _OWN_ROOTS.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="filigrain-")
-        _OWN_ROOTS[spark.sparkContext.applicationId] = root
+    if not root:
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = _OWN_ROOTS.get(context.applicationId) or tempfile.mkdtemp(prefix="filigrain-")
+        _OWN_ROOTS[context.applicationId] = root
     return root.rstrip("/")
 
 
 _OWN_ROOTS: dict[str, str] = {}
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from the columns of df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors, and
     fixes values such as partition numbers that a recomputation could change."""
@@ -74,12 +90,44 @@ def global_rank(df: DataFrame, *order: Column, name: str) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame) -> DataFrame:
-    """df with a broadcast hint if it is counted to be small (two or three longs a row); else as it is."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """df with a broadcast hint if its values are measured to take BROADCAST_BYTES at most; else as it is. df should be
+    a written table, as it is read for the measure."""
+    kinds = dict(df.dtypes)
+    wide = [F.sum(F.octet_length(F.col(f"`{c}`"))) for c in df.columns if kinds[c] in ("string", "binary")]
+    rows, *bytes_ = df.agg(F.count(F.lit(1)), *wide).first()
+    return F.broadcast(df) if rows * 16 * len(df.columns) + sum(b or 0 for b in bytes_) <= BROADCAST_BYTES else df
+
+
+#: Keys that hold more than this share of the rows are spread over several tasks.
+HOT_SHARE = 1 / 4096
+
+
+def split_join(many: DataFrame, one: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """many joined with narrow rows of one, which has one row per key and in `n` how many of the `total` rows of many hold
+    it.
+
+    Keys that hold more than HOT_SHARE of the rows are fewer than 1 / HOT_SHARE, whatever the tables' size; their rows
+    of `one` are broadcast, so the rows of many that hold them stay where they lie. The others are shuffled."""
+    limit = max(1, math.ceil(total * HOT_SHARE))
+    hot = one.filter(F.col("n") > limit)
+    rest = many.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(one.filter(F.col("n") <= limit), keys)
+    return many.join(F.broadcast(hot), keys).unionByName(rest)
+
+
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], by: str, total: int) -> DataFrame:
+    """As split_join for wide rows of one: rows of a hot key are dealt by column `by` over as many tasks as hold HOT_SHARE
+    each, and its row of `one` is sent to all of them; only the keys are broadcast."""
+    limit = max(1, math.ceil(total * HOT_SHARE))
+    tasks = F.ceil(F.col("n") / F.lit(limit)).cast("int")
+    hot = F.broadcast(one.filter(F.col("n") > limit).select(*keys, tasks.alias("_tasks")))
+    salt = F.coalesce(F.pmod(F.xxhash64(by), F.col("_tasks")), F.lit(0)).cast("int")
+    dealt = many.join(hot, keys, "left").withColumn("_salt", salt).drop("_tasks")
+    copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), tasks - 1)))
+    return dealt.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
 LONGEST = (1 << 63) - 1
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 24 << 20
 
 
 def below(c: Column, bounds: list[int]) -> Column:
@@ -156,12 +204,17 @@ def powers(which: str, n: int) -> np.ndarray:
     return have[:n]
 
 
-def range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: str) -> np.ndarray:
-    """64-bit polynomial hashes of values[start:end] for many ranges at once."""
+def range_hasher(values: np.ndarray, base: str):
+    """A function of (start, end): 64-bit polynomial hashes of values[start:end] for many ranges at once."""
     n = len(values)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(values * powers(base, n), out=sums[1:])
-    return mix64((sums[end] - sums[start]) * powers(f"{base}I", n + 1)[start])
+    back = powers(f"{base}I", n + 1)
+    return lambda start, end: mix64((sums[end] - sums[start]) * back[start])
+
+
+def range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: str) -> np.ndarray:
+    return range_hasher(values, base)(start, end)
 
 
 def arrow_bytes(array) -> tuple[np.ndarray, np.ndarray]:

@@ -4,32 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from filigrain.llm.common import written
+from filigrain.llm.common import split_join, written
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b): root is the smallest node reachable.
 
-    Each round writes the edge list to the shared folder. Only per-node minima are aggregated, map-side first, so a
-    hub's neighbours never meet in one task; its edges are joined with AQE's skew split. Ends when a round changes
-    nothing, compared by count and an order-free checksum."""
+    Each round writes the edge list to the shared folder. Per-node minima are aggregated map-side first, and those of
+    hubs are broadcast to their edges, so a hub's neighbours never meet in one task. Every round but the last moves an edge to a smaller
+    node, so the rounds end by themselves: when one changes nothing, by count and an order-free checksum."""
     e = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    mark = _mark(e)
-    for _ in range(most_rounds):
+    mark, before = _mark(e), None
+    while mark != before:
+        before = mark
         # large star: every neighbour above u points to the smallest of u and its neighbours
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        e = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        e = split_join(both, low, ["u"], 2 * mark[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         # small star: u and its smaller neighbours point to the smallest of them
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        joined = e.join(low, "u")
+        low = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        joined = split_join(e, low, ["u"], mark[0])
         e = written(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
-        now = _mark(e)
-        if now == mark:
-            break
-        mark = now
-    else:
-        raise RuntimeError("components did not settle")
+        mark = _mark(e)
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 

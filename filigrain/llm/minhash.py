@@ -2,8 +2,9 @@
 
 Each distinct shingle set is signed by `coords` min-hashes and posted under each (coordinate, value) pair. A pair
 that agrees in at least `least` coordinates must share one of the coords - least + 1 rarest pairs of either, so only
-that prefix is joined, rarest first; documents whose prefix nobody shares are skipped whole. Collisions are counted,
-the count over full signatures is held against `least`, and what is left is confirmed on full shingle sets.
+that prefix is merged; documents whose prefix nobody shares are skipped whole, and so are the long lists, where only
+pairs that met in a merged list are looked up. Collisions of both kinds are counted, and the pairs with `least` or more
+are confirmed on full shingle sets.
 
 Groups stay linear: equal sets are one class first; each posting list is compared with its hub, the member whose
 pairs are the most common (the centre of a group of edited copies); after the linked classes are merged into
@@ -18,7 +19,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filigrain.llm.common import Words, arrow_batches, arrow_bytes, column_or_null, fits_broadcast, mix64, rows_in_slices, written
+from filigrain.llm.common import Words, arrow_batches, arrow_bytes, column_or_null, fits_broadcast, fresh, mix64, rows_in_slices, split_join, spread_join, written
 from filigrain.llm.components import connected_components
 
 COORDS = 64
@@ -98,18 +99,27 @@ def postings(classes: DataFrame, coords: int, least: int) -> DataFrame:
                 nodes = np.repeat(batch.column("node").to_numpy(), coords)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes)], ["key", "node"])
 
-    rows = classes.select("node", "signature").mapInArrow(explode, "key long, node long")
+    rows = written(classes.select("node", "signature").mapInArrow(explode, "key long, node long"), "coordinates")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # pairs that no other class has stay out of the join's output; how many a class has follows from the rest
-    common = rows.join(shared, "key")
+    common = split_join(rows, shared, ["key"], rows.count())
     per = common.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("at"), F.sum("n").alias("score"))
     prefix = coords - least + 1
     left = F.greatest(F.lit(0), F.lit(prefix - coords) + F.size("at"))
     return per.select("node", "score", F.explode(F.slice("at", F.lit(1), left)).alias("p")).select(F.col("p.key").alias("key"), "node", "score")
 
 
-def agreeing(pairs: DataFrame, classes: DataFrame, coords: int, least: int) -> DataFrame:
-    """Of pairs (a, b), those whose full signatures agree in at least `least` coordinates."""
+def merged(lists: DataFrame, hub_of: DataFrame) -> DataFrame:
+    """(a, b, met): members of the merged lists and their hubs; met has a bit for each coordinate at which a list
+    counted a collision of the two."""
+    pairs = split_join(lists, hub_of, ["key"], lists.count()).filter("node <> b")
+    return pairs.groupBy(F.col("node").alias("a"), "b").agg(F.bit_or(F.expr("shiftleft(1L, int(shiftright(key, 32)))")).alias("met"))
+
+
+def matching(pairs: DataFrame, classes: DataFrame, coords: int, least: int) -> DataFrame:
+    """Of pairs (a, b, met), those with `least` collisions or more: those counted by the merged lists, which are not
+    compared again, and those of the lists that were skipped, looked up in the signatures."""
+    bits = np.arange(coords, dtype=np.int64)
 
     def run(batches):
         import pyarrow as pa
@@ -117,21 +127,27 @@ def agreeing(pairs: DataFrame, classes: DataFrame, coords: int, least: int) -> D
         for batch in batches:
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, coords) for c in ("sa", "sb"))
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
+                met = (batch.column("met").to_numpy()[:, None] >> bits & 1).astype(bool)
+                collisions = met.sum(axis=1) + ((x == y) & ~met).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(collisions >= least))
 
     sign = classes.select("node", "signature")
-    both = pairs.join(sign.toDF("a", "sa"), "a").join(sign.toDF("b", "sb"), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
-
+    hubs = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(sign.toDF("b", "sb"), "b")
+    both = split_join(pairs, hubs, ["b"], pairs.count()).join(sign.toDF("a", "sa"), "a")
+    return both.select("a", "b", "met", "sa", "sb").mapInArrow(run, "a long, b long")
 
-def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of pairs (a, b), those with 100 * intersection >= percent * union over full shingle sets. The sets of b, the
-    hubs, are few; those of a travel once per pair."""
 
-    left = with_sets(docs, pairs.select(F.col("a").alias("node"), "b"), k, "b long, ").toDF("a", "b", "set_a")
-    right = with_sets(docs, pairs.select(F.col("b").alias("node")).distinct(), k, "").toDF("b", "set_b")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b), those with 100 * intersection >= percent * union over full shingle sets."""
     both = F.size(F.array_intersect("set_a", "set_b"))
-    return left.join(right, "b").filter(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b").distinct()
+    return with_both_sets(pairs, sets).filter(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b").distinct()
+
+
+def with_both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with set_a and set_b. The hubs b are few; their sets travel, spread where many pairs hold one."""
+    left = pairs.select("a", "b").join(sets.toDF("a", "set_a"), "a")
+    hubs = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(sets.toDF("b", "set_b"), "b")
+    return spread_join(left, hubs, ["b"], "a", pairs.count()).drop("n")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, coords: int = COORDS) -> DataFrame:
@@ -150,18 +166,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, coords: int
         classes = heads.select("node", "signature")
         copies = able.join(heads.filter("node <> _last").select("digest", "node"), "digest").filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
         lists = written(postings(classes, coords, least), "postings")
-        hubs = lists.groupBy("key").agg(F.max(F.struct("score", (-F.col("node")).alias("m"))).alias("h")).select("key", (-F.col("h.m")).alias("b"))
-        hub_of = written(hubs, "hubs")
-        hubs = lists.join(hub_of, "key").filter("node <> b").select(F.col("node").alias("a"), "b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("collisions")).drop("collisions")
-        near = written(agreeing(hubs, classes, coords, least), "pairs")
-        links = written(confirmed(near, docs, k, percent), "links")
-        edges = links.union(copies)
+        hubs = lists.groupBy("key").agg(F.max(F.struct("score", (-F.col("node")).alias("m"))).alias("h"), F.count(F.lit(1)).alias("n"))
+        hub_of = written(hubs.select("key", (-F.col("h.m")).alias("b"), "n"), "hubs")
+        near = written(matching(written(merged(lists, hub_of), "collisions"), classes, coords, least), "pairs")
+        sets = written(shingle_table(docs, written(lists.select("node").distinct(), "nodes"), k), "sets")
+        edges = written(confirmed(near, sets, percent).union(copies), "links")
         roots = connected_components(edges)
-        across = cross_pairs(lists, hub_of, roots, docs, k, percent)
-        more = written(agreeing(across, classes, coords, least), "pairs")
+        across = written(cross_pairs(lists, hub_of, roots, sets, percent), "collisions")
+        more = written(matching(across.withColumn("met", F.lit(0).cast("long")), classes, coords, least), "pairs")
         if more.limit(1).count():
             more = written(more.join(near, ["a", "b"], "left_anti").join(near.toDF("b", "a"), ["a", "b"], "left_anti"), "pairs")
-            fresh = written(confirmed(more, docs, k, percent), "links")
+            fresh = written(confirmed(more, sets, percent), "links")
             if fresh.limit(1).count():
                 roots = connected_components(roots.filter("node <> root").toDF("a", "b").union(fresh))
         roots = roots.filter("node <> root")
@@ -169,8 +184,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, coords: int
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def with_sets(docs: DataFrame, rows: DataFrame, k: int, kept: str) -> DataFrame:
-    """rows (node, and the columns `kept` names by DDL) with the shingle set of the node's text."""
+def shingle_table(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(node, set) of the nodes: the shingle set of each one's text, hashed once for all later steps."""
 
     def run(batches):
         import pyarrow as pa
@@ -179,26 +194,23 @@ def with_sets(docs: DataFrame, rows: DataFrame, k: int, kept: str) -> DataFrame:
             own = shingle_sets(*arrow_bytes(batch.column("text")), k)
             at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(own).view(np.int64)))
-            names = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], [*names, "set"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "set"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    return text.join(fits_broadcast(rows), "node").mapInArrow(run, f"node long, {kept}set array<long>")
+    return text.join(fits_broadcast(nodes), "node").mapInArrow(run, "node long, set array<long>")
 
 
-def residuals(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+def residuals(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, n_a, n_b, rest) of pairs (a, b): rest is the symmetric difference of the two shingle sets."""
-    left = with_sets(docs, pairs.select(F.col("a").alias("node"), "b"), k, "b long, ").toDF("a", "b", "x")
-    right = with_sets(docs, pairs.select(F.col("b").alias("node")).distinct(), k, "").toDF("b", "y")
-    rest = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
-    return left.join(right, "b").select("a", "b", F.size("x").alias("n_a"), F.size("y").alias("n_b"), rest.alias("rest"))
+    rest = F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a"))
+    return with_both_sets(pairs, sets).select("a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"), rest.alias("rest"))
 
 
 #: Width of the classes of residual sizes: this share of the hub's set near the hub, growing with the distance.
 CLASS_WIDTH = 0.02
 
 
-def cross_pairs(lists: DataFrame, hub_of: DataFrame, roots: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def cross_pairs(lists: DataFrame, hub_of: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that share a posting list and may be linked, each once.
 
     Members of a list are described by what sets them apart from its hub h: R(x), the symmetric difference of x and
@@ -209,12 +221,13 @@ def cross_pairs(lists: DataFrame, hub_of: DataFrame, roots: DataFrame, docs: Dat
     t = percent / 100
     placed = lists.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    members = placed.join(mixed, "key").join(hub_of, "key").filter("node <> b")
+    members = split_join(placed, mixed.join(hub_of, "key"), ["key"], lists.count()).filter("node <> b")
     members = written(members.groupBy(F.col("node").alias("a"), "b").agg(F.max("root").alias("root")), "members")
-    rest = written(residuals(members.select("a", "b"), docs, k), "residuals")
+    rest = written(residuals(members.select("a", "b"), sets), "residuals")
     each = rest.select("a", "b", F.explode("rest").alias("f"))
     shared = each.groupBy("b", "f").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    common = each.join(shared, ["b", "f"]).groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("n", "f"))).alias("s"))
+    total = rest.agg(F.sum(F.size("rest"))).first()[0] or 0
+    common = split_join(each, shared, ["b", "f"], total).groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("n", "f"))).alias("s"))
     size = F.size("rest")
     rows = rest.select("a", "b", "n_b", size.alias("r"), (F.lit((1 - t) / (1 + t) * (1 + 1 / t)) * F.col("n_a")).alias("d"))
 
@@ -236,9 +249,14 @@ def cross_pairs(lists: DataFrame, hub_of: DataFrame, roots: DataFrame, docs: Dat
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """The documents kept, one of each group, with their columns; rows that repeat a kept doc_id all stay."""
-    gone = written(near_duplicates(docs, **settings).filter("NOT kept").select("doc_id").distinct(), "gone")
-    return docs.join(fits_broadcast(gone), "doc_id", "left_anti").select(*docs.columns)
+    """The documents kept, the smallest doc_id of each group, with their columns.
+
+    Rows that repeat a doc_id are one node and stay or go together. Null and empty texts and null doc_ids link with
+    nothing and stay. Other columns pass through under any names; an empty table gives no rows."""
+    one, = fresh(docs, "_id")
+    gone = near_duplicates(docs, **settings).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(one)).distinct()
+    gone = fits_broadcast(written(gone, "gone"))
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[one], "left_anti").select(*docs.columns)
 
 
 SQL = r"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filigrain.llm.common import Words, arrow_bytes, column_or_null, fits_broadcast, rows_in_slices, written
+from filigrain.llm.common import Words, arrow_batches, arrow_bytes, column_or_null, fits_broadcast, fresh, rows_in_slices, written
 
 STATS = (
     "log_chars", "word_length", "word_spread", "upper", "digits", "marks", "symbols", "wide_bytes", "line_length", "log_lines",
@@ -14,6 +14,8 @@ STATS = (
 )
 FEATURES = 256
 BINS = 400
+#: Bytes of text whose statistics are taken at once; the arrays beside them take some 30 times as much.
+SLICE = 1 << 19
 #: Marks usual in prose; other printable ASCII that is no letter or digit counts as a symbol.
 PROSE_MARKS = b".,;:!?'\"()-"
 
@@ -89,7 +91,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in rows_in_slices(batches, 2 << 20):
+        for batch in rows_in_slices(batches, SLICE):
             x = statistics(*arrow_bytes(batch.column("text")))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), flat], ["doc_id", "stats"])
@@ -190,7 +192,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     statistics. Null and empty texts have zero statistics and are scored like others; a null doc_id is of fold 0
     and has no label; null labels are skipped; of repeated labels the lower counts. Without labels every score is
     0.5. Extra columns are ignored; an empty table gives no rows."""
-    rows = written(document_statistics(docs), "statistics")
+    with arrow_batches(docs.sparkSession):
+        rows = written(document_statistics(docs), "statistics")
     d = len(STATS)
     sums = rows.agg(F.count(F.lit(1)), *[f(F.col("stats")[i]) for f in (F.avg, F.stddev_pop) for i in range(d)]).first()
     marked = F.col("held_out"), F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
@@ -216,7 +219,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFrame:
-    """The documents whose score is at least `least`, with their columns; of rows that repeat a doc_id the lowest
-    score decides."""
-    bad = quality_scores(docs, labels).filter(F.col("score") < least).select("doc_id").distinct()
-    return docs.join(fits_broadcast(written(bad, "bad")), "doc_id", "left_anti").select(*docs.columns)
+    """The documents whose score is at least `least`, with their columns.
+
+    Of rows that repeat a doc_id the lowest score decides, of rows with a null doc_id the lowest of theirs. Null and
+    empty texts are scored like others. Other columns pass through; without labels every score is 0.5, so nothing stays
+    under a higher `least`; an empty table gives no rows."""
+    one, = fresh(docs, "_id")
+    bad = quality_scores(docs, labels).filter(F.col("score") < least).select(F.col("doc_id").alias(one)).distinct()
+    bad = fits_broadcast(written(bad, "bad"))
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad[one]), "left_anti").select(*docs.columns)
