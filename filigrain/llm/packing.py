@@ -2,26 +2,28 @@
 
 Windows are chosen on the driver from the histogram alone (as many counters as the window has tokens, whatever the
 corpus): a bitset subset-sum dynamic program finds the fill closest to capacity around the longest remaining length,
-the counts are backtracked, and the found window is repeated as often as the counts allow. The executors then place
-each piece by its rank within its length, so nothing but narrow ranks is ordered globally."""
+the counts are backtracked, and the found window is repeated as often as the counts allow. A window without an exact
+fill ends with a cut piece, whose rest goes back to the histogram. The executors then place each piece by its rank within
+its length, so nothing but narrow ranks is ordered globally."""
 
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections import namedtuple
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, Window as W
 
-from filigrain.llm.common import column_or_null, written
+from filigrain.llm.common import arrow_batches, column_or_null, written
 
 CAPACITY = 1024
 
-#: `repeat` windows from window `first` on; counts: ((length, copies in each window), ...), longest first.
-Pattern = namedtuple("Pattern", "first repeat counts")
-#: windows: patterns; tail: per length the first rank laid end to end after them; tail_window: its first window.
-Plan = namedtuple("Plan", "patterns tail tail_window")
+#: `repeat` windows from window `first` on; counts: ((length, copies in each window), ...), longest first; cut: None or
+#: (length, taken): each window ends with the first `taken` ids of one more piece of that length.
+Pattern = namedtuple("Pattern", "first repeat counts cut")
 
 
 def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -49,12 +51,13 @@ def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:
     return found
 
 
-def plan_windows(histogram: dict[int, int], capacity: int = CAPACITY, slack: int = 0) -> Plan:
-    """Windows for a histogram of lengths up to capacity. A window whose best fill leaves more than `slack` sends
-    its seed, the longest remaining length, to the tail; tail pieces are laid end to end and cut at window ends."""
+def plan_windows(histogram: dict[int, int], capacity: int = CAPACITY, slack: int = 0) -> list[Pattern]:
+    """Windows for a histogram of lengths up to capacity, around the longest remaining length each.
+
+    What a best fill leaves open, if more than `slack`, is filled by cutting the longest piece that remains (none is
+    short enough to fit whole, or the fill were better); its rest is a piece again, for later windows. So only the
+    last window stays short."""
     left = {k: v for k, v in histogram.items() if v > 0}
-    used: dict[int, int] = dict.fromkeys(left, 0)
-    tail: dict[int, int] = {}
     patterns, first = [], 0
     while left:
         seed = max(left)
@@ -62,55 +65,55 @@ def plan_windows(histogram: dict[int, int], capacity: int = CAPACITY, slack: int
         counts = best_fill(left, capacity - seed)
         left[seed] += 1
         counts[seed] = counts.get(seed, 0) + 1
-        if capacity - sum(k * n for k, n in counts.items()) > slack:
-            tail[seed] = used[seed]
-            del left[seed]
-            continue
-        repeat = min(left[k] // n for k, n in counts.items())
-        patterns.append(Pattern(first, repeat, tuple(sorted(counts.items(), reverse=True))))
+        room = capacity - sum(k * n for k, n in counts.items())
+        cut = next((k for k in sorted(left, reverse=True) if left[k] > counts.get(k, 0)), None) if room > slack else None
+        need = dict(counts)
+        if cut:
+            need[cut] = need.get(cut, 0) + 1
+        repeat = min(left[k] // n for k, n in need.items())
+        patterns.append(Pattern(first, repeat, tuple(sorted(counts.items(), reverse=True)), (cut, room) if cut else None))
         first += repeat
-        for k, n in counts.items():
+        for k, n in need.items():
             left[k] -= n * repeat
-            used[k] += n * repeat
             if not left[k]:
                 del left[k]
-    return Plan(patterns, tail, first)
+        if cut:
+            left[cut - room] = left.get(cut - room, 0) + repeat
+    return patterns
 
 
 class Placer:
-    """Places pieces of known (length, rank) by a plan."""
+    """Places pieces of known (length, rank) by a plan. The rests of cut pieces rank after the pieces of the histogram,
+    in the order of the patterns that cut them, which is also the order in which patterns take ranks."""
 
-    def __init__(self, plan: Plan, histogram: dict[int, int], capacity: int = CAPACITY):
-        self.capacity, self.tail, self.tail_window = capacity, plan.tail, plan.tail_window
+    def __init__(self, patterns: list[Pattern], histogram: dict[int, int], capacity: int = CAPACITY):
         self.spans: dict[int, list[tuple]] = {}
         at: dict[int, int] = {}
-        for p in plan.patterns:
+        known = dict(histogram)
+        for p in patterns:
             offset = 0
             for length, n in p.counts:
                 begin = at.get(length, 0)
-                self.spans.setdefault(length, []).append((begin, n, p.first, offset))
+                self.spans.setdefault(length, []).append((begin, n, p.first, offset, length, 0))
                 at[length] = begin + n * p.repeat
                 offset += n * length
+            if p.cut:
+                length, taken = p.cut
+                begin, rest = at.get(length, 0), known.get(length - taken, 0)
+                self.spans.setdefault(length, []).append((begin, 1, p.first, offset, taken, rest))
+                at[length] = begin + p.repeat
+                known[length - taken] = rest + p.repeat
         self.begins = {k: np.array([s[0] for s in v]) for k, v in self.spans.items()}
-        self.tail_at, total = {}, 0
-        for length in sorted(plan.tail, reverse=True):
-            self.tail_at[length] = total
-            total += (histogram[length] - plan.tail[length]) * length
 
     def place(self, length: int, rank: int) -> list[tuple[int, int, int, int]]:
         """(start in the piece, length, window, offset) of the parts of one piece."""
-        if length in self.tail and rank >= self.tail[length]:
-            at = self.tail_at[length] + (rank - self.tail[length]) * length
-            out, start = [], 0
-            while start < length:
-                window, offset = divmod(at + start, self.capacity)
-                n = min(length - start, self.capacity - offset)
-                out.append((start, n, self.tail_window + window, offset))
-                start += n
-            return out
-        begin, n, first, offset = self.spans[length][int(np.searchsorted(self.begins[length], rank, "right")) - 1]
-        copy, which = divmod(rank - begin, n)
-        return [(0, length, first + copy, offset + which * length)]
+        out, start = [], 0
+        while length:
+            begin, n, first, offset, taken, rest = self.spans[length][int(np.searchsorted(self.begins[length], rank, "right")) - 1]
+            copy, which = divmod(rank - begin, n)
+            out.append((start, taken, first + copy, offset + which * length))
+            start, length, rank = start + taken, length - taken, rest + copy
+        return out
 
 
 #: The pre-token pattern of `tokenizers`' ByteLevel, and the printable bytes that stand for themselves.
@@ -118,9 +121,8 @@ BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
-def byte_ranks(tokenizer) -> dict[bytes, int] | None:
-    """Token bytes by id when the file is a plain byte-level BPE whose ids follow its merges; else None."""
-    spec = json.loads(tokenizer.to_str())
+def byte_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Token bytes by id when a tokenizer's JSON is a plain byte-level BPE whose ids follow its merges; else None."""
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
     if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex") or spec.get("normalizer"):
         return None
@@ -137,7 +139,7 @@ def byte_ranks(tokenizer) -> dict[bytes, int] | None:
 class Encoder:
     """Token ids of whole texts by a `tokenizers` file. Texts of a plain byte-level BPE are merged by tiktoken under
     the ranks read from that file, which gives the same ids in a fifth of the time (tests compare whole texts); any
-    other file is left to `tokenizers`. The strings of special tokens are ordinary text."""
+    other file, and texts that hold the string of an added token, are left to `tokenizers`."""
 
     def __init__(self, path: str):
         import os
@@ -146,10 +148,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.code = "H" if self.kind is np.uint16 else "I"
-        ranks = byte_ranks(self.tokenizer)
+        spec = json.loads(self.tokenizer.to_str())
+        ranks = byte_ranks(spec)
+        added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.merge = None
         if ranks:
             import tiktoken
@@ -158,8 +162,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text; no end token is added."""
-        ids = map(self.merge, texts) if self.merge else (e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False))
-        return [array(self.code, x).tobytes() for x in ids]
+        if not self.merge:
+            return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array(self.code, self.whole(t) if self.added and self.added.search(t) else self.merge(t)).tobytes() for t in texts]
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per vocabulary file in a Python worker, which serves many tasks."""
+    return Encoder(path)
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end: int = 0, capacity: int = CAPACITY) -> DataFrame:
@@ -170,9 +184,9 @@ def tokenised(docs: DataFrame, tokenizer: str, end: int = 0, capacity: int = CAP
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer)
-        width, part, full, rest = np.dtype(encoder.kind).itemsize, TaskContext.get().partitionId(), 0, {}
-        ending = np.array([end], encoder.kind).tobytes()
+        own = encoder(tokenizer)
+        width, part, full, rest = np.dtype(own.kind).itemsize, TaskContext.get().partitionId(), 0, {}
+        ending = np.array([end], own.kind).tobytes()
         for batch in batches:
             texts, ids, n = batch.column("text").to_pylist(), batch.column("doc_id"), batch.num_rows
             begin = 0
@@ -181,7 +195,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end: int = 0, capacity: int = CAP
                 while stop < n and (stop == begin or chars + len(texts[stop] or "") <= 1 << 20):
                     chars += len(texts[stop] or "")
                     stop += 1
-                tokens = [x + ending for x in encoder.encode([t or "" for t in texts[begin:stop]])]
+                tokens = [x + ending for x in own.encode([t or "" for t in texts[begin:stop]])]
                 counts = [len(x) // width for x in tokens]
                 fulls, rests = [], []
                 for c in counts:
@@ -207,7 +221,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = 0
 
     A null or empty text is its end id alone. Rows that repeat a doc_id are packed each. A null doc_id stays null.
     Extra columns are ignored; an empty table gives no rows."""
-    tokens = written(tokenised(docs, tokenizer, end, capacity), "tokens")
+    with arrow_batches(docs.sparkSession):
+        tokens = written(tokenised(docs, tokenizer, end, capacity), "tokens")
     rest = (F.col("doc_tokens") % capacity).cast("int")
     per = tokens.select("_part", rest.alias("_len"), F.floor(F.col("doc_tokens") / capacity).alias("_n")).groupBy("_part", "_len").agg(F.count(F.lit(1)).alias("_rows"), F.sum("_n").alias("_fulls"))
     per = written(per, "lengths")
@@ -223,13 +238,13 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = 0
     whole = whole.select("_part", F.coalesce(F.sum("_f").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_full_base"))
     # one row per part: its bases by length, at most `capacity` entries
     maps = bases.groupBy("_part").agg(F.map_from_entries(F.collect_list(F.struct("_len", "_rest_base"))).alias("_bases")).join(whole, "_part")
-    shared = docs.sparkSession.sparkContext.broadcast(json.dumps([plan.patterns, list(plan.tail.items()), plan.tail_window, list(hist.items())]))
+    shared = docs.sparkSession.sparkContext.broadcast(json.dumps([plan, list(hist.items())]))
 
     def place(batches):
         import pyarrow as pa
 
-        patterns, tail, tail_window, histogram = json.loads(shared.value)
-        placer = Placer(Plan([Pattern(a, b, tuple(map(tuple, c))) for a, b, c in patterns], dict(tail), tail_window), dict(histogram), capacity)
+        patterns, histogram = json.loads(shared.value)
+        placer = Placer([Pattern(*p) for p in patterns], dict(histogram), capacity)
         for batch in batches:
             out = [[] for _ in range(7)]
             cols = [batch.column(c).to_pylist() for c in ("doc_id", "doc_tokens", "ids", "width", "_full_rank", "_rest_rank")]
