@@ -62,36 +62,50 @@ def fingerprint(name: str) -> Column:
     return F.concat(F.substring(F.col(f"{name}_root"), 1, 32), F.lit(":"), F.array_join(F.transform(ends, one), "/"))
 
 
-def likeness(a: Column, b: Column, same: Column) -> Column:
-    """Common distinct phrases over those of the richer text; 1 for equal roots."""
-    most = F.greatest(F.size(a), F.size(b), F.lit(1))
-    return F.when(same, 1.0).otherwise(F.size(F.array_intersect(a, b)) / most).cast("double")
+def nodes(print_: Column) -> Column:
+    """The tree that a fingerprint writes down: struct of its root and its distinct sections, paragraphs and phrases,
+    each named by the codes under it."""
+    body = F.substring(print_, 34, 2_000_000_000)
+    sections = F.array_distinct(F.split(body, "/"))
+    paragraphs = F.array_distinct(F.flatten(F.transform(sections, lambda s: F.split(s, ";"))))
+    leaves = F.array_distinct(F.flatten(F.transform(paragraphs, lambda p: F.regexp_extract_all(p, F.lit("[0-9a-f]{6}"), F.lit(0)))))
+    return F.struct(F.substring(print_, 1, 32).alias("root"), sections.alias("sections"), paragraphs.alias("paragraphs"), leaves.alias("phrases"))
 
 
-def phrase_set(leaves: Column) -> Column:
-    return F.array_distinct(F.flatten(leaves))
+def likeness(a: Column, b: Column) -> Column:
+    """Of two trees (see nodes), the nodes in common over those of the larger: 1 for equal roots and only for them.
+    Below equal branches all is equal, so what is lost lies under the branches that differ."""
+    levels = ("sections", "paragraphs", "phrases")
+    common = sum((F.size(F.array_intersect(a[c], b[c])) for c in levels), F.lit(0))
+    most = F.greatest(*(sum((F.size(t[c]) for c in levels), F.lit(1)) for t in (a, b)))
+    return F.when(a["root"] == b["root"], 1.0).otherwise(common / most).cast("double")
+
+
+def changed(a: Column, b: Column, level: str) -> Column:
+    """1-based places in array a (the `level` hashes of one tree) of what array b, the other tree's, lacks."""
+    lost = F.array_except(a, b)
+    return F.filter(F.transform(a, lambda x, i: F.when(F.array_contains(lost, x), i + 1)), lambda i: i.isNotNull()).alias(level)
 
 
 def changed_branches(df: DataFrame, a: str, b: str) -> DataFrame:
     """For trees named a and b in df (see with_tree): the 1-based sections of a that b lacks, and in those the
     paragraphs of a that b lacks. Both are empty when the roots are equal."""
-    missing = F.array_except(f"{a}_sections", f"{b}_sections")
-    spans = F.filter(
-        F.transform(f"{a}_sections", lambda s, i: F.when(F.array_contains(missing, s), i + 1)),
-        lambda i: i.isNotNull(),
-    )
-    lost = F.array_except(f"{a}_paragraphs", f"{b}_paragraphs")
-    lines = F.filter(F.transform(f"{a}_paragraphs", lambda p, i: F.when(F.array_contains(lost, p), i + 1)), lambda i: i.isNotNull())
-    return df.withColumn("changed_sections", spans).withColumn("changed_paragraphs", lines)
+    same = F.col(f"{a}_root") == F.col(f"{b}_root")
+    for level in ("sections", "paragraphs"):
+        found = changed(F.col(f"{a}_{level}"), F.col(f"{b}_{level}"), level)
+        df = df.withColumn(f"changed_{level}", F.when(same, F.array().cast("array<int>")).otherwise(found))
+    return df
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row.
-
-    The edited text has the last half replaced by as much of the next document's beginning. A null text is empty;
-    an empty text is one empty paragraph. Rows that repeat a doc_id follow each other in the order of their texts;
-    null doc_ids come last. The only document of a table is its own next. Extra columns are ignored; an empty
-    table gives no rows."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, changed_sections,
+    changed_paragraphs for every row.
+
+    The edited text has the last half replaced by as much of the next document's beginning; changed_* are the 1-based
+    branches of its tree that the document's tree lacks. near_* compare fingerprints as written (see likeness). A
+    null text is empty; an empty text is one empty paragraph. Rows that repeat a doc_id follow each other in the order
+    of their texts; null doc_ids come last. The only document of a table is its own next. Extra columns are ignored;
+    an empty table gives no rows."""
     rows = docs.select(column_or_null(docs, "doc_id", "long").alias("doc_id"), F.coalesce(column_or_null(docs, "text", "string"), F.lit("")).alias("text"))
     rows = with_next(rows, "doc_id", "text", "text")
     n = F.char_length("text")
@@ -99,11 +113,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     for text, name in (("text", "a"), ("edited", "e"), ("next_text", "x")):
-        rows = with_tree(rows, text, name).withColumn(f"{name}_set", phrase_set(F.col(f"{name}_leaves")))
-    for name in ("a", "e"):
-        rows = rows.withColumn(f"{name}_codes", codes(F.col(f"{name}_leaves")))
+        rows = with_tree(rows, text, name)
+        rows = rows.withColumn(f"{name}_codes", codes(F.col(f"{name}_leaves"))).withColumn(f"{name}_print", fingerprint(name))
+        rows = rows.withColumn(f"{name}_nodes", nodes(F.col(f"{name}_print")))
+    rows = changed_branches(rows, "e", "a")
     return rows.select(
-        "doc_id", "n_chars", "edited_sha256", fingerprint("a").alias("fingerprint"), fingerprint("e").alias("edited_fingerprint"),
-        likeness(F.col("a_set"), F.col("e_set"), F.col("a_root") == F.col("e_root")).alias("near_edited"),
-        likeness(F.col("a_set"), F.col("x_set"), F.col("a_root") == F.col("x_root")).alias("near_next"),
+        "doc_id", "n_chars", "edited_sha256", F.col("a_print").alias("fingerprint"), F.col("e_print").alias("edited_fingerprint"),
+        likeness(F.col("a_nodes"), F.col("e_nodes")).alias("near_edited"), likeness(F.col("a_nodes"), F.col("x_nodes")).alias("near_next"),
+        "changed_sections", "changed_paragraphs",
     )
