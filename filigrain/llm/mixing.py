@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from filigrain.llm.common import WORD, column_or_null, fits_broadcast, ranked_parts, written
+from filigrain.llm.common import WORD, column_or_null, fits_broadcast, fresh, ranked_parts, written
 
 WEIGHTS = (5, 2, 1)
 
@@ -45,7 +45,7 @@ def uniform(doc_id: Column, seed: int) -> Column:
 
 
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, quality=letter_share, seed: int = 11) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, epochs, part for every row.
+    """doc_id, source, size, source_size, target, taken, epochs, part, text_hash for every row.
 
     Whole epochs of a source come first; what is left of its target is filled in the order of the exponential keys
     -ln(u) / quality, and the document at the border gives its first words, so that a source's taken words equal
@@ -57,12 +57,13 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
         column_or_null(docs, "doc_id", "long").alias("doc_id"),
         column_or_null(docs, "source", "string").alias("source"),
         word_count(text).alias("size"),
+        F.xxhash64(text).alias("text_hash"),
         quality(text).alias("_q"),
     )
     rows = written(keyed.withColumn("_key", -F.ln(uniform(F.col("doc_id"), seed)) / F.col("_q")).drop("_q"), "mixkeys")
     totals = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, most, weights)
     totals = written(totals, "targets")
-    parts = ranked_parts(rows, F.col("source").isNull(), F.col("source"), F.col("_key"), F.col("doc_id"), F.col("size"), name="mixorder")
+    parts = ranked_parts(rows, F.col("source").isNull(), F.col("source"), F.col("_key"), F.col("doc_id"), F.col("size"), F.col("text_hash"), name="mixorder")
     # words of the source before each range: one row per (range, source); a source spans many ranges, so none is hot
     sums = parts.groupBy("_part", "source").agg(F.sum("size").alias("_n"))
     base = sums.select("_part", "source", F.coalesce(F.sum("_n").over(W.partitionBy("source").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
@@ -73,22 +74,45 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     left = F.floor(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size") - F.col("_base") - F.col("_run")
     j = j.withColumn("epochs", epochs).withColumn("part", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left)))
-    return j.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"), "epochs", "part")
+    return j.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"), "epochs", "part", "text_hash")
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix, with their columns: a row per whole epoch, and of the cut epoch a row with the first
-    `part` words (joined by single spaces if the document is cut). Documents without words are in no mix; rows that
-    repeat a doc_id share the larger plan."""
-    plan = mix(docs, **settings).filter("taken > 0").groupBy("doc_id").agg(F.max("epochs").alias("__epochs"), F.max("part").alias("__part"), F.max("size").alias("__size"))
-    plan = fits_broadcast(written(plan, "mixplan").toDF("__id", "__epochs", "__part", "__size"))
-    j = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
-    full = F.array_repeat(F.col("text"), F.col("__epochs").cast("int"))
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    cut = F.when(F.col("__part") >= F.col("__size"), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("__part").cast("int")), " "))
-    texts = F.when(F.col("__part") > 0, F.concat(full, F.array(cut))).otherwise(full)
-    kept = [c for c in docs.columns if c != "text"]
-    return j.select(*kept, F.explode(texts).alias("text")).select(*docs.columns)
+    `part` words (joined by single spaces if the document is cut). Documents without words, null texts among them, are
+    in no mix.
+
+    A row is known by doc_id, source and text, nulls being equal, so rows that repeat a doc_id with another text or
+    source have plans of their own. Rows equal in all three are written together as often as their plans say in sum,
+    with the least of their other columns. An empty table gives no rows."""
+    one, two, three, copies, cut = fresh(docs, "_id", "_source", "_hash", "_copies", "_cut")
+    whole = F.col("part") >= F.col("size")
+    plan = mix(docs, **settings).filter("size > 0").groupBy("doc_id", "source", "text_hash").agg(
+        (F.sum("epochs") + F.sum(F.when((F.col("part") > 0) & whole, 1).otherwise(0))).alias(copies),
+        F.sum(F.when(whole, 0).otherwise(F.col("part"))).alias(cut),
+        F.count(F.lit(1)).alias("_rows"),
+    )
+    plan = written(plan.filter((F.col(copies) > 0) | (F.col(cut) > 0)).withColumnsRenamed({"doc_id": one, "source": two, "text_hash": three}), "mixplan")
+    source, words = column_or_null(docs, "source", "string"), F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+
+    def drawn(rows: DataFrame, plan: DataFrame) -> DataFrame:
+        same = rows["doc_id"].cast("long").eqNullSafe(plan[one]) & source.eqNullSafe(plan[two]) & (F.xxhash64(rows["text"]) == plan[three])
+        return rows.join(fits_broadcast(plan.drop("_rows")), same)
+
+    single = drawn(docs, plan.filter("_rows = 1"))
+    again = plan.filter("_rows > 1")
+    if again.limit(1).count():
+        rows = drawn(docs, again)
+        others = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+        least = [F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_others")] if others else [F.count(F.lit(1)).alias("_others")]
+        met = rows.groupBy(*[c for c in docs.columns if c not in others], copies, cut).agg(*least)
+        restored = [F.col("_others")[c].alias(c) if c in others else F.col(f"`{c}`") for c in docs.columns]
+        single = single.select(*docs.columns, copies, cut).unionByName(met.select(*restored, copies, cut))
+    full = F.array_repeat(F.col("text"), F.col(copies).cast("int"))
+    first = F.array_join(F.slice(words, F.lit(1), F.col(cut).cast("int")), " ")
+    texts = F.when(F.col(cut) > 0, F.concat(full, F.array(first))).otherwise(full)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return single.select(*kept, F.explode(texts).alias("text")).select(*docs.columns)
 
 
 SQL = r"""
