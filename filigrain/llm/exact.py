@@ -2,14 +2,14 @@
 
 A bounded Misra-Gries summary (Spark's approx_top_k, the merging frequent-items sketch of that family) names
 digests that may be frequent. Their exact winners and counts come from one map-side-combined aggregation and are
-broadcast, so rows of frequent digests are decided where they lie. Only the remaining digests are shuffled, and
-none of those can hold more than about 1/tracked of all rows."""
+broadcast, so rows of frequent digests are decided where they lie. Only the remaining digests are shuffled. All
+counters of the summary are candidates, so a digest outside it holds at most about 1/TRACKED of all rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from filigrain.llm.common import SPACES, column_or_null, fits_broadcast, written
+from filigrain.llm.common import SPACES, column_or_null, fits_broadcast, fresh, written
 
 
 def squeezed(text: Column) -> Column:
@@ -30,9 +30,13 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def heavy_hitters(rows: DataFrame, heavy: int = 256, tracked: int = 4096) -> DataFrame:
-    """At most `heavy` digests that a Misra-Gries summary of `tracked` counters finds most frequent."""
-    top = rows.agg(F.expr(f"approx_top_k(text_sha256, {heavy}, {tracked})").alias("top"))
+#: Counters of the summary, and candidates at most.
+TRACKED = 4096
+
+
+def heavy_hitters(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """The digests that a Misra-Gries summary of `tracked` counters finds more than once, `tracked` at most."""
+    top = rows.agg(F.expr(f"approx_top_k(text_sha256, {tracked}, {tracked})").alias("top"))
     return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("text_sha256"), F.col("t.count").alias("_seen")).filter("_seen > 1").drop("_seen")
 
 
@@ -42,17 +46,17 @@ def _winners(rows: DataFrame) -> DataFrame:
     return rows.groupBy("text_sha256").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size")).select("text_sha256", F.col("b.d").alias("keep_id"), "group_size")
 
 
-def exact_groups(docs: DataFrame, heavy: int = 256, tracked: int = 4096) -> DataFrame:
+def exact_groups(docs: DataFrame, tracked: int = TRACKED) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of docs, dropped ones too.
 
     Null text counts as empty, and all empty texts are one group. Rows that repeat a doc_id are separate rows of
     the group and carry one decision (keep_first settles them). A null doc_id loses every tie. Extra columns are
     ignored; an empty table gives no rows."""
     rows = written(digests(docs), "digests")
-    candidates = heavy_hitters(rows, heavy, tracked)
-    # verified: exact counts and winners of the candidates; map-side combining leaves at most `heavy` rows a task
+    candidates = heavy_hitters(rows, tracked)
+    # verified: exact counts and winners of the candidates; map-side combining leaves at most `tracked` rows a task
     winners = written(_winners(rows.join(F.broadcast(candidates), "text_sha256", "left_semi")).filter("group_size > 1"), "heavy")
-    small = F.broadcast(winners)  # at most `heavy` rows
+    small = F.broadcast(winners)  # at most `tracked` rows of 100 bytes
     hot = rows.join(small, "text_sha256")
     rest = rows.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti")
     light = rest.join(_winners(rest), "text_sha256")
@@ -62,23 +66,29 @@ def exact_groups(docs: DataFrame, heavy: int = 256, tracked: int = 4096) -> Data
 
 
 def keep_first(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that stay, with their columns. Rows with one doc_id and equal texts stay once, the longest."""
+    """The documents that stay, with their columns: of equal texts the one with the most code points, then the smallest
+    doc_id.
+
+    Rows with one doc_id and equal texts stay once, the longest, then the least text. Null text is empty, so of all
+    empty and null texts one stays. A null doc_id loses every tie but is kept where its text is its own. Other columns
+    pass through under any names; an empty table gives no rows."""
     marks = written(exact_groups(docs, **limits), "marks")
-    key = ["__id", "__sha"]
-    gone = marks.filter("NOT kept").select("doc_id", "text_sha256").distinct().toDF(*key)
-    again = marks.filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n").toDF(*key)
-    out = docs.withColumns({"__doc": F.col("doc_id"), "__sum": F.sha2(squeezed(F.col("text")).cast("binary"), 256)})
+    one, two, doc, digest, place = fresh(docs, "_id", "_sha", "_doc", "_digest", "_place")
+    gone = marks.filter("NOT kept").select("doc_id", "text_sha256").distinct().toDF(one, two)
+    again = marks.filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n").toDF(one, two)
+    out = docs.withColumns({doc: F.col("doc_id").cast("long"), digest: F.sha2(squeezed(F.col("text")).cast("binary"), 256)})
 
     def same(other: DataFrame) -> Column:
-        return out["__doc"].eqNullSafe(other["__id"]) & (out["__sum"] == other["__sha"])
+        return out[doc].eqNullSafe(other[one]) & (out[digest] == other[two])
 
-    gone = fits_broadcast(gone)
+    gone = fits_broadcast(written(gone, "gone"))
     out = out.join(gone, same(gone), "left_anti")
+    again = written(again, "again")
     if again.limit(1).count():
         again = fits_broadcast(again)
-        first = W.partitionBy("__doc", "__sum").orderBy(F.desc(F.char_length("text")), "text")
-        one = out.join(again, same(again), "left_semi").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
-        out = out.join(again, same(again), "left_anti").unionByName(one)
+        first = W.partitionBy(doc, digest).orderBy(F.desc(F.char_length("text")), "text")
+        kept = out.join(again, same(again), "left_semi").withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1).drop(place)
+        out = out.join(again, same(again), "left_anti").unionByName(kept)
     return out.select(*docs.columns)
 
 
