@@ -1,13 +1,19 @@
 """Edge cases of every training-data operator, and brute-force versions where SQL cannot express one."""
 
 import hashlib
+import json
+import math
 import re
+import struct
 import zlib
 from collections import defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+import regex
+import xxhash
+from pyspark.sql import functions as F
 
 from filigrain.llm import chat, exact, merkle, minhash, mixing, packing, quality, sharding, suffixes, urls
 from filigrain.llm.queries import oracle_sql, queries
@@ -138,7 +144,6 @@ def test_packing_round_trip(odd):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary())
-    tokenizer.encode_special_tokens = True
     got = packing.op2(odd.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])).toPandas()
     texts = {r[0]: r[1] or "" for r in ROWS if r[0]}
     for doc, pieces in got.groupby("doc_id"):
@@ -152,6 +157,60 @@ def test_packing_round_trip(odd):
     assert set(got.doc_id) == set(texts)
 
 
+def test_ids_of_texts_with_special_strings(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary())
+    special = next(t["content"] for t in json.loads(tokenizer.to_str())["added_tokens"])
+    texts = {1: f"a {special} b", 2: special, 3: f"{special}{special}", 4: special[:-1]}
+    got = packing.op2(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).toPandas()
+    for doc, text in texts.items():
+        assert set(got[got.doc_id == doc].doc_tokens) == {len(tokenizer.encode(text, add_special_tokens=False).ids) + 1}
+
+
+def brute_tree(text):
+    """Sections of paragraphs of phrase hashes, as Spark's xxhash64 (seed 42) makes them."""
+    long = lambda v: v - (1 << 64) if v >= 1 << 63 else v
+    paragraphs, sections, own = [], [], []
+    for line in text.split("\n"):
+        leaves = [long(xxhash.xxh64_intdigest(m.encode(), 42)) for m in regex.findall(merkle.PHRASE, line)]
+        h = 42
+        for x in leaves:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", x), h)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", len(leaves)), h)
+        paragraphs.append(leaves)
+        own.append(long(h))
+        if own[-1] % merkle.SECTION == 0:
+            sections.append((own, paragraphs))
+            own, paragraphs = [], []
+    if own:
+        sections.append((own, paragraphs))
+    return sections
+
+
+def brute_print(text):
+    marks, parts = [], []
+    for own, paragraphs in brute_tree(text):
+        h = 42
+        for x in own:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", x), h)
+        marks.append(f"{h:X}")
+        parts.append(";".join("".join(f"{x % (1 << 24):06x}" for x in p) for p in paragraphs))
+    return hashlib.sha256(".".join(marks).encode()).hexdigest()[:32] + ":" + "/".join(parts)
+
+
+def brute_likeness(a, b):
+    """Nodes in common over those of the larger tree, from the printed fingerprints alone."""
+    trees = []
+    for p in (a, b):
+        sections = set(p[33:].split("/"))
+        paragraphs = {x for s in sections for x in s.split(";")}
+        trees.append((sections, paragraphs, {x[i : i + 6] for x in paragraphs for i in range(0, len(x), 6)}))
+    if a[:32] == b[:32]:
+        return 1.0
+    return sum(len(x & y) for x, y in zip(*trees)) / max(1 + sum(map(len, t)) for t in trees)
+
+
 def test_merkle_brute_force(odd):
     rows = odd.filter("doc_id IS NOT NULL")
     got = merkle.fingerprints(rows).toPandas()
@@ -168,6 +227,20 @@ def test_merkle_brute_force(odd):
     assert by[1].fingerprint != by[2].fingerprint and by[3].fingerprint == by[4].fingerprint
     assert got.near_edited.between(0, 1).all() and got.near_next.between(0, 1).all()
     assert by[5].near_edited > 0.4
+    prints = sorted((doc, brute_print(text)) for doc, text in texts)
+    assert sorted(zip(got.doc_id, got.fingerprint)) == prints
+    follower = {doc: brute_print(texts[(i + 1) % len(texts)][1]) for i, (doc, _) in enumerate(texts) if doc != 7}
+    for r in got.itertuples():
+        assert abs(r.near_edited - brute_likeness(r.fingerprint, r.edited_fingerprint)) < 1e-12
+        if r.doc_id in follower:
+            assert abs(r.near_next - brute_likeness(r.fingerprint, follower[r.doc_id])) < 1e-12
+        assert (r.near_edited == 1.0) == (not len(r.changed_paragraphs) and r.fingerprint == r.edited_fingerprint)
+
+
+def test_reordered_phrases_are_not_the_same(spark):
+    rows = spark.createDataFrame([(1, "a b. c d. "), (2, "c d. a b. ")], "doc_id long, text string")
+    first, second = merkle.fingerprints(rows).orderBy("doc_id").collect()
+    assert first["fingerprint"] != second["fingerprint"] and 0 < first["near_next"] < 1
 
 
 def test_merkle_locates_edits(spark):
@@ -210,30 +283,36 @@ def test_near_duplicates(spark, odd):
         assert got == brute_groups(texts, k, percent)
 
 
-def test_repeats_brute_force(spark, odd):
+def test_repeats_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(4)
     words = lambda n: [f"v{i}" for i in rng.integers(0, 9000, n)]
     p = [words(n) for n in (49, 50, 51, 120)]
     texts = {i: " ".join(words(30) + p[i % 4] + words(20) + p[(i + 1) % 4][: 60 if i % 2 else 120] + words(5)) for i in range(12)}
     texts |= {20: " ".join(p[3]), 21: None, 22: "", 23: "\n".join(p[3][10:])}
     docs = spark.createDataFrame([*texts.items(), (None, texts[0])], "doc_id long, text string")
-    where, spans = defaultdict(set), {}
-    for d, t in texts.items():
+    texts[24] = " ".join(p[2][:40] + words(3))
+    docs = spark.createDataFrame([*texts.items(), (None, texts[0]), (24, texts[1]), (24, texts[1])], "doc_id long, text string")
+    rows = [*texts.items(), (24, texts[1])]
+    where, spans = defaultdict(list), []
+    for d, t in rows:
         at = [(m.start(), m.end()) for m in WORD.finditer(t or "")]
         w = [t[a:b] for a, b in at]
-        spans[d] = at, w
-        for i in range(len(w) - 49):
-            where[tuple(w[i : i + 50])].add(d)
-    expect = set()
-    for d, (at, w) in spans.items():
+        windows = [tuple(w[i : i + 50]) for i in range(len(w) - 49)]
+        spans.append((d, at, windows))
+        for x in windows:
+            where[x].append(d)
+    expect = []
+    for d, at, windows in spans:
         run = []
-        for i in [i for i in range(len(w) - 49) if len(where[tuple(w[i : i + 50])]) > 1] + [10**9]:
+        for i in [i for i, x in enumerate(windows) if len(set(where[x])) > 1] + [10**9]:
             if run and i > run[-1] + 50:
-                expect.add((d, at[run[0]][0], at[run[-1] + 49][1]))
+                places = [where[windows[j]] for j in run]
+                expect.append((d, at[run[0]][0], at[run[-1] + 49][1], run[-1] + 50 - run[0], min(map(min, places)), max(map(len, places))))
                 run = []
             run.append(i)
-    got = suffixes.repeats(docs).collect()
-    assert {(r["doc_id"], r["start"], r["stop"]) for r in got} == expect and len(got) == len(expect)
+    assert sorted(map(tuple, suffixes.repeats(docs).collect())) == sorted(expect)
+    monkeypatch.setattr(suffixes, "RUN", 2)  # every beginning is now very common, and is split by its windows
+    assert sorted(map(tuple, suffixes.repeats(docs).collect())) == sorted(expect)
 
 
 def test_hilbert_curve_is_one_path():
@@ -244,6 +323,43 @@ def test_hilbert_curve_is_one_path():
     assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
 
 
+def test_places_on_the_curve(spark, sf):
+    """Cells, curve order, ties and cuts of every document, worked out in Python."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    n = len(rows)
+
+    def string_cells(values):
+        counts, end, bounds = sorted((v.encode(), values.count(v)) for v in set(values)), 0, []
+        for v, c in counts:
+            if end * 64 // n < min((end + c) * 64 // n, 63):
+                bounds.append(v)
+            end += c
+        return [sum(b <= v.encode() for b in bounds) for v in values]
+
+    sizes = [len(r["text"].encode()) + 1 for r in rows]
+    marks = {sorted(sizes)[max(0, math.ceil(i * n / 64) - 1)] for i in range(1, 64)}
+    axes = np.array([string_cells([r["lang"] for r in rows]), string_cells([r["source"] for r in rows]), [sum(m <= x for m in marks) for x in sizes]]).T
+    curve = sharding.hilbert_index(axes, sharding.BITS)
+    order = sorted(range(n), key=lambda i: (curve[i], rows[i]["doc_id"]))
+    more, base = n % 16, n // 16
+    expect, at = {}, 0
+    for shard in range(16):
+        for slot in range(base + (shard < more)):
+            expect[rows[order[at]]["doc_id"]] = (curve[order[at]], shard, slot)
+            at += 1
+    got = sharding.op7(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    assert {r["doc_id"]: (r["curve"], r["shard"], r["slot"]) for r in got} == expect
+
+
+def test_shards_are_written_in_ranges(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id AS doc_id", "int(id % 4) AS shard", "id AS slot")
+    sharding.write_shards(rows, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == 1000 and back.select("shard").distinct().count() == 4
+    spans = back.groupBy(back["shard"], F.input_file_name()).agg(F.min("slot").alias("a"), F.max("slot").alias("b")).orderBy("shard", "a").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]) if x["shard"] == y["shard"])
+
+
 def test_shards(odd):
     got = sharding.op7(odd).toPandas()
     assert len(got) == len(ROWS)
@@ -285,19 +401,36 @@ def test_url_parts_and_rules(spark):
 
 def test_copies_of_one_url_do_not_fill_the_training_rows(spark, monkeypatch):
     monkeypatch.setattr(urls, "TRAIN_ROWS", 10)
-    made = [f"http://a.com/en/{i}" for i in range(20)] + [f"http://b.net/fr/{i}" for i in range(20)]
+    made = [f"http://a.com/en/{i}" for i in range(20)] + [f"http://b.net/fr/{i}?x=1&y=2" for i in range(20)]
     first = spark.createDataFrame([(u,) for u in made], "url string").selectExpr("url", "xxhash64(url) AS h").orderBy("h").first()["url"]
-    free = ["http://a.org/en/1", "http://b.org/fr/1"]
+    free = ["http://a.org/en/1", "http://b.org/fr/1?x=1&y=2"]
     rows = list(enumerate(made + [first] * 30 + free))
     got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
     assert len(got) == len(rows)
     assert got[len(rows) - 2]["verdict"] == "allow" and got[len(rows) - 1]["verdict"] == "block"
 
 
-def test_every_labelled_value_has_statistics(spark):
-    rows = spark.range(900).selectExpr("'p' || id % 300 AS section", "double(id % 2) AS label", "double(1) AS _copies")
-    got = urls.shares(rows, "section").collect()
-    assert len(got) == 300 and all(abs(r["section_share"] - 1 / 300) < 1e-12 for r in got)
+def test_url_trees_learn_given_labels(spark):
+    """Spam hosts with dashes against plain ones: hosts that training never saw are told apart."""
+    made = [(f"http://{'cheap-' * (i % 2)}h{i % 50}.org/p/{i}", 1 - i % 2) for i in range(800)]
+    labelled = spark.createDataFrame(made + [(None, 1), ("http://x.org", None)], "url string, label int")
+    pages = spark.createDataFrame([(1, "http://cheap-h77.org/p/900"), (2, "http://h77.org/p/900"), (2, "http://h77.org/p/900")], "page_id long, url string")
+    got = {r["page_id"]: r for r in urls.judge(pages, labelled=labelled).collect()}
+    assert got[1]["verdict"] == "block" and got[2]["verdict"] == "allow"
+    auc, n = urls.held_out_auc(pages, labelled=labelled)
+    assert auc > 0.95 and n > 50
+
+
+def test_unruled_urls_have_scores_of_their_own(spark):
+    got = urls.judge(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).filter("rule IS NULL").toPandas()
+    assert got.allowed.nunique() > 10 and got.allowed.between(0, 1).all()
+    assert ((got.allowed >= 0.5) == (got.verdict == "allow")).all()
+
+
+def test_every_suffix_has_statistics(spark):
+    rows = spark.range(900).selectExpr("concat('http://h.s', id % 300, '/p/', id) AS url", "concat('h.s', id % 300) AS host", "concat('/p/', id) AS path")
+    got = urls.suffix_statistics(urls.lexical(rows)).collect()
+    assert len(got) == 300 and all(abs(r["suffix_share"] - 1 / 300) < 1e-12 and r["suffix_depth"] == 2 for r in got)
 
 
 def test_mix(odd):
@@ -310,6 +443,18 @@ def test_mix(odd):
     assert sorted(zip(got.doc_id.fillna(-1), got.taken)) == sorted(zip(again.doc_id.fillna(-1), again.taken))
 
 
+def test_rows_that_share_a_doc_id_have_plans_of_their_own(spark):
+    rows = [(None, "a b c d", "s1"), (None, "e f", "s2"), (1, "g h i", "s1"), (1, "g h i", "s1"), (1, "j", "s3"), (2, None, "s1")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, source string, _copies int")
+    plan = mixing.mix(docs).toPandas()
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    words = defaultdict(int)
+    for r in out.collect():
+        words[r["source"]] += len(WORD.findall(r["text"]))
+    assert {s: n for s, n in plan.groupby("source").taken.sum().items() if n} == dict(words)
+
+
 def test_mixed_documents(odd):
     plan = mixing.mix(odd.dropDuplicates(["doc_id", "text"])).toPandas()
     out = mixing.mixed_documents(odd.dropDuplicates(["doc_id", "text"])).collect()
@@ -333,6 +478,27 @@ def test_quality_on_held_out_rows(spark):
     assert (got.predicted == got.quality).mean() > 0.95
 
 
+def test_quality_scores_brute_force(spark, sf):
+    """The same numbers from one matrix in numpy."""
+    docs = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    stats = np.vstack([quality.statistics(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])) for _, t in docs])
+    z = quality.Fourier(stats.mean(axis=0), stats.std(axis=0))(stats)
+    fold = np.array([zlib.crc32(str(d).encode()) % 4 for d, _ in docs])
+    y = np.array([labels.get(d, -1) for d, _ in docs])
+    fit = (fold < 2) & (y >= 0)
+    a = z[fit]
+    raw = z @ np.linalg.solve(a.T @ a + 1e-4 * len(a) * np.eye(a.shape[1]), a.T @ y[fit])
+    held = (fold == 3) & (y >= 0)
+    cell = np.clip(np.floor((raw[held] + 0.5) * quality.BINS / 2), 0, quality.BINS - 1)
+    some = np.unique(cell)
+    at = np.array([raw[held][cell == c].mean() for c in some])
+    good, count = (np.array([f(y[held][cell == c]) for c in some], float) for f in (np.sum, len))
+    score = np.clip(np.interp(raw, *quality.isotonic(at, good + good.sum() / count.sum(), count + 1)), 0, 1)
+    got = {r["doc_id"]: r["score"] for r in quality.quality_scores(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    assert len(got) == len(docs) and max(abs(got[d] - s) for (d, _), s in zip(docs, score)) < 1e-6
+
+
 def test_isotonic():
     x, y = quality.isotonic(np.array([0.0, 1, 2, 3]), np.array([1.0, 0, 3, 4]), np.array([2.0, 2, 4, 4]))
     assert (np.diff(y) >= 0).all() and len(x) == 3 and y[0] == 0.25

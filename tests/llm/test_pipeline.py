@@ -1,6 +1,8 @@
 import re
 
-from tests.llm.test_llm import brute_groups
+import pytest
+
+from tests.llm.test_llm import ROWS, SCHEMA, brute_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -32,3 +34,35 @@ def test_stages(spark, sf):
     assert packed.groupby("doc_id").length.sum().sum() > 0
     assert set(packed.doc_id) == {d for d, _ in steps[3]}
     assert len(cp.run(spark, sf).toPandas()) == len(packed)
+
+
+@pytest.fixture(scope="module")
+def odd_folder(spark, tmp_path_factory):
+    """A folder whose labels call short texts good."""
+    at = tmp_path_factory.mktemp("odd")
+    rows = [(i, 1 if len(str(i)) < 3 else 0, 0) for i in range(400)] + [(None, 1, None), (3, None, None)]
+    spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    return str(at)
+
+
+@pytest.mark.parametrize("place", range(5))
+def test_stages_take_odd_rows(spark, odd_folder, place):
+    """Nulls in every column, empty and very long texts, repeated rows, clashing columns, and an empty table."""
+    import corpus_pipeline as cp
+
+    name, stage = cp.STAGES[place]
+    clash = f"{SCHEMA}, _id long, _hash string, _doc string, _copies long, _digest string, n long"
+    docs = spark.createDataFrame([(*r, 1, None, "x", 2, None, 3) for r in ROWS], clash)
+    got = stage(spark, docs, odd_folder)
+    if place < 4:
+        assert got.columns == docs.columns
+        texts = {r[1] for r in ROWS}
+        rows = got.collect()
+        if name in ("exact_dedup", "near_dedup"):
+            assert {r["text"] for r in rows} <= texts and len(rows) > 3
+        if name == "near_dedup":
+            assert {r["doc_id"] for r in rows} >= {None, 3, 4, 5, 8} and not {6, 7} & {r["doc_id"] for r in rows}
+    else:
+        assert got.groupBy("sequence_id", "offset").count().filter("count > 1").count() == 0
+    nothing = stage(spark, docs.limit(0), odd_folder)
+    assert nothing.count() == 0 and (place == 4 or nothing.columns == docs.columns)
