@@ -10,22 +10,27 @@ from filigrain.llm.common import written
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 1, the classifier: documents whose score is under 0.7 go. See quality.keep_good for odd rows."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 2: of texts that are equal but for white space the longest stays. See exact.keep_first for odd rows."""
     return exact.keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 3: one document of each near-duplicate group (five words, 0.8) stays. See minhash.keep_one for odd rows."""
     return minhash.keep_one(docs, k=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 4: documents as often as their source's target asks for. See mixing.mixed_documents for odd rows."""
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 5: the pieces of all documents in sequences of 1,024 tokens. See packing.pack for odd rows."""
     return packing.op2(docs)
 
 
