@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, Window as W
 
+from filigrain.functions.text import token_count
+
 
 def neighbours(seeds: DataFrame, chunks: DataFrame, group: str, seq: str, window: int = 1) -> DataFrame:
     """(group, seed_seq, seq): chunks within `window` places of a seed in its group, by an equi join on the places."""
@@ -11,17 +13,27 @@ def neighbours(seeds: DataFrame, chunks: DataFrame, group: str, seq: str, window
     return at.join(chunks.select(group, seq), [group, seq]).select(group, "seed_seq", seq)
 
 
-def parent_windows(chunks: DataFrame, group: str, seq: str, text: str, n_tokens: str, cap: int = 1500) -> DataFrame:
-    """chunks plus parent_text and parent_span: previous, self and next if they fit the cap, else previous and self,
-    else self and next; the last is taken even over the cap."""
-    w = W.partitionBy(group).orderBy(seq)
-    p, n = F.lag(text).over(w), F.lead(text).over(w)
-    tp, tn, t = F.coalesce(F.lag(n_tokens).over(w), F.lit(0)), F.coalesce(F.lead(n_tokens).over(w), F.lit(0)), F.col(n_tokens)
-    df = chunks.withColumns({"_p": p, "_n": n, "_tp": tp, "_tn": tn})
-    all3, two, t = F.col("_tp") + F.col("_tn") + t, F.col("_tp") + t, F.col(n_tokens)
-    span = F.when(all3 <= cap, "all").when(two <= cap, "back").otherwise("ahead")
-    out = F.when(span == "all", F.concat_ws("\n", "_p", text, "_n")).when(span == "back", F.concat_ws("\n", "_p", text)).otherwise(F.concat_ws("\n", text, "_n"))
-    return df.withColumn("parent_span", span).withColumn("parent_text", out).drop("_p", "_n", "_tp", "_tn")
+def parent_windows(chunks: DataFrame, group: str, seq: str, text: str, key: str, tables: DataFrame | None = None, cap: int = 1500) -> DataFrame:
+    """chunks plus parent_id and parent_text: of previous + self + next, self + next and self the first whose text, joined
+    by blank lines, fits the cap; self fits always. The id is win: and the keys, joined by bars.
+
+    Chunks with a table_id of tables(table_id, table_text) have that whole table as parent if it fits, else themselves;
+    they are no neighbours of text chunks."""
+    df = chunks.withColumn("_table", F.lit(None).cast("string")) if tables is None else chunks.join(tables.withColumnRenamed("table_text", "_table"), "table_id", "left")
+    w = W.partitionBy(group, F.col("_table").isNotNull()).orderBy(seq)
+    df = df.withColumns({f"_{n}_{c}": f(c).over(w) for c in (text, key) for n, f in (("before", F.lag), ("after", F.lead))})
+    id_, parent = F.concat(F.lit("win:"), F.col(key).cast("string")), F.col(text)
+    for names in ((key, "_after"), ("_before", key, "_after")):  # the widest that fits is asked last, so it wins
+        at = [key if n == key else f"{n}_{key}" for n in names]
+        wide = F.concat_ws("\n\n", *(text if n == key else f"{n}_{text}" for n in names))
+        fits = token_count(wide) <= cap
+        id_ = F.when(fits, F.concat(F.lit("win:"), F.concat_ws("|", *(F.col(c).cast("string") for c in at)))).otherwise(id_)
+        parent = F.when(fits, wide).otherwise(parent)
+    if tables is not None:
+        fits, whole = token_count(F.col("_table")) <= cap, F.col("_table").isNotNull()
+        id_ = F.when(whole, F.when(fits, F.col("table_id")).otherwise(F.col(key).cast("string"))).otherwise(id_)
+        parent = F.when(whole, F.when(fits, F.col("_table")).otherwise(F.col(text))).otherwise(parent)
+    return df.select(*chunks.columns, id_.alias("parent_id"), parent.alias("parent_text"))
 
 
 def distinct_parents(ranked: DataFrame, parent: str, top_k: int) -> DataFrame:

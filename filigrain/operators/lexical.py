@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections import namedtuple
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from filigrain.functions.text import tokens
 
 K1, B = 1.5, 0.75
+#: Bytes of query terms that are broadcast at most.
+BROADCAST_BYTES = 24 << 20
 LexicalIndex = namedtuple("LexicalIndex", "postings terms corpus")
 
 
@@ -20,15 +23,65 @@ def build(chunks: DataFrame, pos: str = "pos", text: str = "text") -> LexicalInd
     return LexicalIndex(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), corpus)
 
 
-def scores(index: LexicalIndex, queries: DataFrame) -> DataFrame:
-    """(qid, pos, score) of queries(qid, query); query terms count once each."""
-    terms = queries.select("qid", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
-    hit = index.postings.join(terms, "term").join(index.terms, "term").join(F.broadcast(index.corpus))  # corpus is one row
+def query_terms(queries: DataFrame) -> DataFrame:
+    """(qid, term) of queries(qid, query); query terms count once each."""
+    return queries.select("qid", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
+
+
+def _blocks(asked: DataFrame, most: int) -> list[DataFrame]:
+    """Rows (qid, term, ...) whole if they are measured to take `most` bytes at most, else cut by a hash of qid."""
+    n, wide = asked.agg(F.count(F.lit(1)), F.sum(F.octet_length("term"))).first()
+    blocks = max(1, -(-(n * 48 + (wide or 0)) // most))
+    return [asked.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i) for i in range(blocks)] if blocks > 1 else [asked]
+
+
+def scores(chunks: DataFrame, queries: DataFrame, pos: str = "pos", text: str = "text", most: int = BROADCAST_BYTES) -> DataFrame:
+    """(qid, pos, score) of queries(qid, query) over all chunks.
+
+    Texts are tokenised once. Only tokens that some query has go on, with an empty one per chunk that counts chunks
+    and lengths; they are dealt by chunk, so term counts and scores need no shuffle by term, where a common term would
+    gather all chunks in one task. The queries' terms are broadcast, in blocks of `most` bytes if there are more."""
+    toks = chunks.select(F.col(pos).alias("pos"), tokens(F.col(text)).alias("toks"))
+    toks = toks.select("pos", F.size("toks").cast("long").alias("dl"), F.explode(F.concat(F.array(F.lit("")), "toks")).alias("term"))
+    toks = toks.withColumn("term", F.coalesce("term", F.lit("")))
+    return reduce(DataFrame.unionByName, [_block_scores(toks, asked) for asked in _blocks(query_terms(queries), most)])
+
+
+def _block_scores(toks: DataFrame, asked: DataFrame) -> DataFrame:
+    count_all = asked.sparkSession.createDataFrame([("",)], "term string")
+    met = toks.join(F.broadcast(asked.select("term").union(count_all).distinct()), "term", "left_semi").repartition("pos")
+    postings = met.groupBy("pos", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("_dls"))
+    corpus = terms.filter("term = ''").select(F.col("df").alias("n"), (F.col("_dls") / F.col("df")).alias("avgdl"))
+    idf = F.ln((F.col("n") - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)) + F.lit(1.0))
+    weights = terms.join(F.broadcast(corpus)).select("term", idf.alias("idf"), "avgdl")  # corpus is one row
+    norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl"))
+    hit = postings.join(F.broadcast(asked.join(weights, "term")), "term")
+    return hit.groupBy("pos", "qid").agg(F.sum(F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score")).select("qid", "pos", "score")
+
+
+def indexed_scores(index: LexicalIndex, queries: DataFrame) -> DataFrame:
+    """scores over a stored index: only the postings of the queries' terms are read."""
+    hit = index.postings.join(query_terms(queries), "term").join(index.terms, "term").join(F.broadcast(index.corpus))  # corpus is one row
     idf = F.ln((F.col("n") - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)) + F.lit(1.0))
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl"))
     return hit.groupBy("qid", "pos").agg(F.sum(idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score"))
 
 
+def keyword_overlap(chunks: DataFrame, queries: DataFrame, top_k: int = 10, pos: str = "pos", text: str = "text") -> DataFrame:
+    """(qid, pos, score, rank): common distinct words over the root of the product of both counts, best first, ties by
+    position; chunks without a common word are left out. Words are runs of a-z and 0-9, lower-cased."""
+
+    def words(c: str) -> Column:
+        return F.array_distinct(F.regexp_extract_all(F.lower(F.col(c)), F.lit("[a-z0-9]+"), F.lit(0)))
+
+    asked = queries.select("qid", words("query").alias("q")).select("qid", F.size("q").alias("m"), F.explode("q").alias("term"))
+    rows = chunks.select(F.col(pos).alias("pos"), words(text).alias("p")).select("pos", F.size("p").alias("n"), F.explode("p").alias("term"))
+    dealt = rows.repartition("pos")
+    hit = reduce(DataFrame.unionByName, [dealt.join(F.broadcast(block), "term").groupBy("pos", "qid", "m", "n").agg(F.count(F.lit(1)).alias("c")) for block in _blocks(asked, BROADCAST_BYTES)])
+    return top(hit.select("qid", "pos", (F.col("c") / F.sqrt(F.col("m") * F.col("n"))).alias("score")), top_k)
+
+
 def top(scored: DataFrame, candidates: int = 100, positive: bool = True) -> DataFrame:
     """Best `candidates` per query, ties by position; scores of 0 or less go after the cut. Rounded to 6 digits for a
     sum that does not depend on the order of addition."""
@@ -38,7 +91,7 @@ def top(scored: DataFrame, candidates: int = 100, positive: bool = True) -> Data
 
 def bm25(chunks: DataFrame, queries: DataFrame, allowed: DataFrame | Column | None = None, candidates: int = 100, pos: str = "pos", text: str = "text") -> DataFrame:
     """(qid, pos, score, rank). allowed: rows (qid, pos) or (pos) that may be candidates."""
-    scored = scores(build(chunks, pos, text), queries)
+    scored = scores(chunks, queries, pos, text)
     if allowed is not None:
         scored = scored.join(allowed, [c for c in ("qid", "pos") if c in allowed.columns], "left_semi")
     return top(scored, candidates)

@@ -75,13 +75,13 @@ def postings_df_idf(t):
     return i.terms.join(F.broadcast(i.corpus)).select("term", "df", F.round(F.ln((F.col("n") - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)) + F.lit(1.0)), 6).alias("idf"))
 
 
-@query("keyword_overlap", f"""WITH {_INDEX}, q AS (SELECT item_id AS qid, list_distinct({_TOKENS % 'text'}) AS l FROM benchmark),
-x AS (SELECT qid, len(l) AS m, unnest(l) AS term FROM q)
-SELECT qid, pos, round(count(*) / m, 6) AS share FROM x JOIN p USING (term) GROUP BY qid, pos, m HAVING count(*) * 2 >= m""")
+@query("keyword_overlap", """WITH d AS (SELECT doc_id AS pos, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS l FROM documents),
+q AS (SELECT item_id AS qid, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS l FROM benchmark),
+x AS (SELECT qid, len(l) AS m, unnest(l) AS term FROM q), y AS (SELECT pos, len(l) AS n, unnest(l) AS term FROM d),
+s AS (SELECT qid, pos, round(count(*) / sqrt(m * n), 6) AS score FROM x JOIN y USING (term) GROUP BY qid, pos, m, n)
+SELECT qid, pos, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos) AS rank FROM s) WHERE rank <= 10""")
 def keyword_overlap(t):
-    q = _benchmark(t).withColumn("l", F.array_distinct(T.tokens(F.col("query")))).select("qid", F.size("l").alias("m"), F.explode("l").alias("term"))
-    hit = lexical.build(_docs(t)).postings.join(q, "term").groupBy("qid", "pos", "m").agg(F.count(F.lit(1)).alias("c"))
-    return hit.filter("c * 2 >= m").select("qid", "pos", F.round(F.col("c") / F.col("m"), 6).alias("share"))
+    return lexical.keyword_overlap(_docs(t), _benchmark(t))
 
 
 # ---- dense retrieval and fusion ----
@@ -171,7 +171,7 @@ def union_interleave(t):
 h AS (SELECT *, row_number() OVER (PARTITION BY qid, pos ORDER BY r, label) AS n FROM g WHERE r <= 5)
 SELECT qid, pos, rank, label FROM (SELECT qid, pos, label, row_number() OVER (PARTITION BY qid ORDER BY r, label) AS rank FROM h WHERE n = 1) WHERE rank <= 10""")
 def multi_target_round_robin(t):
-    scored = lexical.scores(lexical.build(_docs(t)), _benchmark(t)).withColumn("score", F.round("score", 6))
+    scored = lexical.scores(_docs(t), _benchmark(t)).withColumn("score", F.round("score", 6))
     own = scored.join(_docs(t).filter(F.col("lang").isin("en", "fr", "de")).select("pos", F.col("lang").alias("label")), "pos")
     ranked = own.withColumn("rank", F.row_number().over(W.partitionBy("qid", "label").orderBy(F.desc("score"), "pos"))).filter("rank <= 5")
     return fusion.round_robin(ranked.select("qid", "label", "pos", "rank"), 10)
@@ -188,12 +188,12 @@ def neighbor_expansion(t):
 _COUNT = "(floor(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) * 1.33::DOUBLE) + 1)::BIGINT"
 
 
-@query("parent_windows", f"""WITH c AS (SELECT *, {_COUNT} AS n FROM conversations), w AS (SELECT *, lag(text) OVER o AS p, lead(text) OVER o AS x, coalesce(lag(n) OVER o, 0) AS tp, coalesce(lead(n) OVER o, 0) AS tn FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn))
-SELECT conv_id, turn, CASE WHEN tp + tn + n <= 300 THEN 'all' WHEN tp + n <= 300 THEN 'back' ELSE 'ahead' END AS parent_span,
-CASE WHEN tp + tn + n <= 300 THEN concat_ws(chr(10), p, text, x) WHEN tp + n <= 300 THEN concat_ws(chr(10), p, text) ELSE concat_ws(chr(10), text, x) END AS parent_text FROM w""")
+@query("parent_windows", f"""WITH w AS (SELECT *, lag(text) OVER o AS p, lead(text) OVER o AS x, lag(turn) OVER o AS a, lead(turn) OVER o AS b FROM conversations WINDOW o AS (PARTITION BY conv_id ORDER BY turn)),
+v AS (SELECT *, concat_ws(chr(10) || chr(10), p, text, x) AS three, concat_ws(chr(10) || chr(10), text, x) AS two FROM w)
+SELECT conv_id, turn, 'win:' || CASE WHEN {_COUNT.replace('(text', '(three')} <= 300 THEN concat_ws('|', a, turn, b) WHEN {_COUNT.replace('(text', '(two')} <= 300 THEN concat_ws('|', turn, b) ELSE turn::VARCHAR END AS parent_id,
+CASE WHEN {_COUNT.replace('(text', '(three')} <= 300 THEN three WHEN {_COUNT.replace('(text', '(two')} <= 300 THEN two ELSE text END AS parent_text FROM v""")
 def parent_windows(t):
-    c = t("conversations").withColumn("n", T.token_count(F.col("text")))
-    return expand.parent_windows(c, "conv_id", "turn", "text", "n", 300).select("conv_id", "turn", "parent_span", "parent_text")
+    return expand.parent_windows(t("conversations"), "conv_id", "turn", "text", "turn", cap=300).select("conv_id", "turn", "parent_id", "parent_text")
 
 
 @query("distinct_parent_topk", f"WITH {_INDEX}, {_SCORES}, r AS (SELECT qid, source, min(rank) AS best FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos) AS rank FROM s) JOIN documents ON doc_id = pos WHERE rank <= 100 AND score > 0 GROUP BY qid, source) SELECT qid, source, rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY best, source) AS rank FROM r) WHERE rank <= 5")
@@ -335,11 +335,6 @@ def used_key_anti_join(t):
     return t("customer").join(t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
-@query("freeze_full_outer", "SELECT coalesce(c_custkey, o_custkey) AS key, CASE WHEN c_custkey IS NULL THEN 'extra' WHEN o_custkey IS NULL THEN 'missing' ELSE 'present' END AS state, coalesce(n, 0) AS n FROM (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) FULL JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
-def freeze_full_outer(t):
-    return _frozen(t("customer").filter("c_custkey % 2 = 0"), t("orders"))
-
-
 def _frozen(customer: DataFrame, orders: DataFrame) -> DataFrame:
     have = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     j = customer.select("c_custkey").join(have, F.col("c_custkey") == F.col("o_custkey"), "full")
@@ -347,9 +342,8 @@ def _frozen(customer: DataFrame, orders: DataFrame) -> DataFrame:
     return j.select(F.coalesce("c_custkey", "o_custkey").alias("key"), state.alias("state"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("freeze_full_outer_all", "SELECT coalesce(c_custkey, o_custkey) AS key, CASE WHEN c_custkey IS NULL THEN 'extra' WHEN o_custkey IS NULL THEN 'missing' ELSE 'present' END AS state, coalesce(n, 0) AS n FROM customer FULL JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
-def freeze_full_outer_all(t):
-    """As freeze_full_outer, whose SQL asks for even keys only, for every customer."""
+@query("freeze_full_outer", "SELECT coalesce(c_custkey, o_custkey) AS key, CASE WHEN c_custkey IS NULL THEN 'extra' WHEN o_custkey IS NULL THEN 'missing' ELSE 'present' END AS state, coalesce(n, 0) AS n FROM customer FULL JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
+def freeze_full_outer(t):
     return _frozen(t("customer"), t("orders"))
 
 
@@ -382,25 +376,15 @@ def filter_aggregates(t):
 
 # ---- coverage, numbers, text ----
 
-@query("date_tolerance_join", """WITH r AS (SELECT o_orderkey, o_custkey AS k, o_orderdate::DATE AS d FROM orders WHERE o_orderkey % 50 = 0), f AS (SELECT o_orderkey AS filing, o_custkey AS k, o_orderdate::DATE AS e FROM orders),
-g AS (SELECT filing, k, e, e AS d2, false AS prior FROM f UNION ALL SELECT filing, k, e, (e - INTERVAL 12 MONTH)::DATE, true FROM f) SELECT r.o_orderkey, g.filing, g.prior FROM r JOIN g ON r.k = g.k AND abs(date_diff('day', g.d2, r.d)) <= 7""")
+@query("date_tolerance_join", """WITH f AS (SELECT o_orderkey, o_custkey AS k, o_orderdate::DATE AS e FROM orders),
+g AS (SELECT o_orderkey AS filing, k, e AS d2, false AS prior FROM f UNION ALL SELECT o_orderkey, k, (e - INTERVAL 12 MONTH)::DATE, true FROM f) SELECT r.o_orderkey, g.filing, g.prior FROM f r JOIN g ON r.k = g.k AND abs(date_diff('day', g.d2, r.e)) <= 7""")
 def date_tolerance_join(t):
-    return _date_hits(t("orders"), "o_orderkey % 50 = 0")
-
-
-def _date_hits(orders: DataFrame, asked: str) -> DataFrame:
-    o = orders.select("o_orderkey", F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("d"))
-    hit = coverage.date_hits(o.filter(asked), o.select(F.col("o_orderkey").alias("filing"), "k", F.col("d").alias("e")), "k", "d", "e")
+    """Every order asks for the filings of its customer near its day."""
+    o = t("orders").select("o_orderkey", F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("d"))
+    hit = coverage.date_hits(o, o.select(F.col("o_orderkey").alias("filing"), "k", F.col("d").alias("e")), "k", "d", "e")
     return hit.select("o_orderkey", "filing", F.col("_prior").alias("prior"))
 
 
-@query("date_tolerance_join_all", """WITH f AS (SELECT o_orderkey, o_custkey AS k, o_orderdate::DATE AS e FROM orders),
-g AS (SELECT o_orderkey AS filing, k, e AS d2, false AS prior FROM f UNION ALL SELECT o_orderkey, k, (e - INTERVAL 12 MONTH)::DATE, true FROM f) SELECT r.o_orderkey, g.filing, g.prior FROM f r JOIN g ON r.k = g.k AND abs(date_diff('day', g.d2, r.e)) <= 7""")
-def date_tolerance_join_all(t):
-    """As date_tolerance_join, whose SQL asks for one order in fifty, for every order."""
-    return _date_hits(t("orders"), "true")
-
-
 @query("coverage_product", """WITH c AS (SELECT o_custkey AS ticker, year(o_orderdate) AS year FROM orders GROUP BY ALL), q AS (SELECT c_custkey AS qid, unnest([c_custkey, c_custkey + 1]) AS ticker FROM customer), t AS (SELECT qid, ticker, unnest([1995, 1996, 1997]) AS year FROM q)
 SELECT qid, count(t.ticker) AS targets, count(c.ticker) AS hits, CASE WHEN count(c.ticker) = count(t.ticker) THEN 'all_hit' WHEN count(c.ticker) = 0 THEN 'none' ELSE 'partial' END AS status FROM t LEFT JOIN c USING (ticker, year) GROUP BY qid""")
 def coverage_product(t):
