@@ -161,6 +161,12 @@ def _draw(id_: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_).cast("string")))
 
 
+def hash_sample(rows: DataFrame, by: str, id_: str, n: int, seed: int = 0) -> DataFrame:
+    """The first n rows of each value of `by` in the order of a seeded hash of their ids."""
+    place = F.row_number().over(W.partitionBy(by).orderBy(_draw(id_, seed), id_))
+    return rows.withColumn("_n", place).filter(F.col("_n") <= n).drop("_n")
+
+
 def drawn_by_company(pool: DataFrame, id_: str, quotas: dict[str, int] | None = None, seed: int = 0) -> DataFrame:
     """pool rows drawn per ticker, with relation (current or prior): each statement's quota, two thirds of it about the
     filing's own period; a short stratum is filled from the rest of its statement, a short company from all of its rows."""

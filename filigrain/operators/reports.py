@@ -74,6 +74,10 @@ def same_filing(anchor: str, chunk: str) -> Column:
     return out
 
 
+def _within(blob: Column):
+    return lambda s: F.contains(blob, s)
+
+
 def anchors_found(anchors: DataFrame, results: DataFrame, ks: tuple[int, ...]) -> DataFrame:
     """(qid, item, found_k ...) of anchors (qid, item, ticker, form, accession, contains, anchor_source) in results (qid,
     rank, ticker, form, accession, text): all strings in one of the first k chunks of the filing, or, for sources whose
@@ -85,8 +89,7 @@ def anchors_found(anchors: DataFrame, results: DataFrame, ks: tuple[int, ...]) -
     for k in ks:
         top = F.col("rank") <= k
         blob = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(top, F.struct("rank", "t")))), lambda x: x["t"]), " ")
-        spread = F.forall(F.first("c"), lambda s, b=blob: F.contains(b, s))
-        out.append(F.when(F.first("spread"), spread).otherwise(F.coalesce(F.bool_or(top & F.col("whole")), F.lit(False))).alias(f"found_{k}"))
+        out.append(F.when(F.first("spread"), F.forall(F.first("c"), _within(blob))).otherwise(F.coalesce(F.bool_or(top & F.col("whole")), F.lit(False))).alias(f"found_{k}"))
     met = j.groupBy("qid", "item").agg(*out)
     empty = F.forall("contains", lambda s: F.lit(False))
     return anchors.select("qid", "item", "contains").join(met, ["qid", "item"], "left").select("qid", "item", *[F.coalesce(f"found_{k}", empty).alias(f"found_{k}") for k in ks])
@@ -104,7 +107,7 @@ def figures_found(figures: DataFrame, results: DataFrame, gold: DataFrame, ks: t
     blobs = top.groupBy("qid").agg(*[blob((F.col("rank") <= k) & own).alias(f"_{n}_{k}") for k in ks for n, own in (("loose", F.lit(True)), ("strict", F.coalesce("own", F.lit(False))))])
     names = [f"{n}_{k}" for k in ks for n in ("loose", "strict")]
     j = figures.join(blobs, "qid", "left")
-    shown = [F.bool_and(F.coalesce(F.exists("spellings", lambda s, n=n: F.contains(F.col(f"_{n}"), plain(s))), F.lit(False))).alias(n) for n in names]
+    shown = [F.bool_and(F.coalesce(F.exists(F.transform("spellings", plain), _within(F.col(f"_{n}"))), F.lit(False))).alias(n) for n in names]
     return j.groupBy("qid").agg(*shown)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from filigrain.functions import html, text as T
-from filigrain.operators import coverage, dense, evaluate, expand, fusion, lexical, requests, sections
+from filigrain.operators import coverage, dense, evaluate, expand, fusion, lexical, reports, requests, sections
 from filigrain.sources import tables
 from filigrain.streaming import logs
 
@@ -116,9 +116,10 @@ def dense_filtered(t):
     return dense.dense(t("embeddings").filter("label = 3").select(F.col("vec_id").alias("pos"), "embedding"), _vector_queries(t), 10)
 
 
-@query("l2_normalised", "SELECT vec_id, round(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 5) AS norm FROM embeddings")
+@query("l2_normalised", "WITH n AS (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings) SELECT vec_id, round(n, 5) AS norm, round(e[1] / n, 6) AS first, round(e[64] / n, 6) AS last FROM n")
 def l2_normalised(t):
-    return t("embeddings").select("vec_id", F.round(dense.norm(F.col("embedding")), 5).alias("norm"))
+    u = t("embeddings").select("vec_id", dense.norm(F.col("embedding")).alias("n"), dense.unit(F.col("embedding")).alias("u"))
+    return u.select("vec_id", F.round("n", 5).alias("norm"), F.round(F.get("u", 0), 6).alias("first"), F.round(F.get("u", 63), 6).alias("last"))
 
 
 _HYBRID = f"""
@@ -213,12 +214,15 @@ def as_of_heading(t):
 
 @query("filter_in_and", "SELECT doc_id FROM documents WHERE lang IN ('en', 'fr') AND source IN ('src1', 'src2', 'src3')")
 def filter_in_and(t):
-    return t("documents").filter(F.col("lang").isin("en", "fr") & F.col("source").isin("src1", "src2", "src3")).select("doc_id")
+    d = t("documents").select("doc_id", F.col("lang").alias("ticker"), F.col("source").alias("form"))
+    asked = requests.normal_filters({"ticker": ["en", " FR "], "form": ["src1", "SRC2", "src3"]})
+    return d.filter(requests.predicate(asked, d.columns)).select("doc_id")
 
 
 @query("filter_null_is_false", "SELECT d.doc_id, coalesce(l.quality = 1, false) AS allowed FROM documents d LEFT JOIN labels l USING (doc_id)")
 def filter_null_is_false(t):
-    return t("documents").select("doc_id").join(t("labels").select("doc_id", "quality"), "doc_id", "left").select("doc_id", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("allowed"))
+    d = t("documents").select("doc_id").join(t("labels").select("doc_id", (F.col("quality") + 2000).alias("fiscal_year")), "doc_id", "left")
+    return d.select("doc_id", requests.predicate(requests.normal_filters({"fiscal_year": 2001}), d.columns).alias("allowed"))
 
 
 @query("section_prefix_filter", "SELECT p_partkey FROM part WHERE upper(trim(p_type)) = 'STANDARD' OR starts_with(upper(trim(p_type)), 'STANDARD ') OR upper(trim(p_type)) = 'ECONOMY' OR starts_with(upper(trim(p_type)), 'ECONOMY ')")
@@ -251,7 +255,11 @@ sc AS (SELECT it.qid, round(coalesce(1.0 / first, 0), 4)::DOUBLE AS mrr, round(c
 def _scores(t, expected: DataFrame | None = None) -> DataFrame:
     """A document satisfies a benchmark item when it contains its text. Benchmark items are the stated query set."""
     items = t("benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("needle"))
-    hits = items.join(_docs(t).select("pos", "text"), F.contains("text", "needle"), "left").select("qid", F.col("qid").alias("item"), "pos")
+    none = F.lit(None)
+    asked = items.select("qid", F.lit(0).alias("item"), none.cast("array<string>").alias("chunk_ids"), none.cast("map<string,array<string>>").alias("spec"), F.array("needle").alias("contains"))
+    docs = _docs(t).select(F.col("pos").alias("chunk_id"), "text")
+    near = reports.evidence_hits(asked, docs).join(docs, "chunk_id").join(items, "qid").filter(F.contains("text", "needle"))  # letters as they are
+    hits = items.select("qid").join(near.select("qid", F.col("chunk_id").alias("pos")), "qid", "left").select("qid", F.col("qid").alias("item"), "pos")
     return evaluate.score(lexical.bm25(_docs(t), _benchmark(t)), hits, expected=expected)
 
 
@@ -294,35 +302,26 @@ def cohen_kappa(t):
 @query("status_pivot", "SELECT lang, count(*) FILTER (q = 'good') AS good, count(*) FILTER (q = 'poor') AS poor, count(*) FILTER (q = 'none') AS none FROM (SELECT lang, CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' ELSE 'none' END AS q FROM documents LEFT JOIN labels USING (doc_id)) GROUP BY lang")
 def status_pivot(t):
     j = t("documents").select("doc_id", "lang").join(t("labels").select("doc_id", "quality"), "doc_id", "left")
-    q = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor").otherwise("none")
-    return j.withColumn("q", q).groupBy("lang").pivot("q", ["good", "poor", "none"]).count().fillna(0)
+    return reports.status_counts(j, "lang", F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor").otherwise("none"), ["good", "poor", "none"])
 
 
-@query("first_match_exclusions", "SELECT CASE WHEN o_orderstatus = 'P' THEN '4_conflict_or_review' WHEN o_totalprice < 20000 THEN '1_zero_or_nil' WHEN o_custkey % 7 = 0 THEN '2_no_linked_cell' ELSE 'kept' END AS reason, count(*) AS n FROM orders GROUP BY 1")
-def first_match_exclusions(t):
-    r = F.when(F.col("o_orderstatus") == "P", "4_conflict_or_review").when(F.col("o_totalprice") < 20000, "1_zero_or_nil").when(F.col("o_custkey") % 7 == 0, "2_no_linked_cell").otherwise("kept")
-    return t("orders").groupBy(r.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("threshold_sweep", "SELECT k, count(*) FILTER (n_chars <= k * 500) AS flagged, count(*) FILTER (n_chars <= k * 500 AND quality = 0) AS caught FROM documents LEFT JOIN labels USING (doc_id), range(6) r(k) GROUP BY k")
+@query("threshold_sweep", "SELECT k * 500 AS threshold, count(*) FILTER (n_chars <= k * 500) AS flagged, count(*) FILTER (n_chars <= k * 500 AND quality = 0) AS caught FROM documents LEFT JOIN labels USING (doc_id), range(6) r(k) GROUP BY k")
 def threshold_sweep(t):
     j = t("documents").select("doc_id", "n_chars").join(t("labels").select("doc_id", "quality"), "doc_id", "left")
-    j = j.select("*", F.explode(F.array(*[F.lit(k).cast("long") for k in range(6)])).alias("k"))
-    low = F.col("n_chars") <= F.col("k") * 500
-    return j.groupBy("k").agg(F.count_if(low).alias("flagged"), F.count_if(low & (F.col("quality") == 0)).alias("caught"))
+    return reports.threshold_counts(j, F.col("n_chars"), [k * 500 for k in range(6)], F.col("quality") == 0).withColumn("threshold", F.col("threshold").cast("long"))
 
 
 @query("cheapest_meeting_target", "SELECT p_brand, arg_min(p_partkey, p_retailprice * 1e6 + p_partkey) AS cheapest, round(min(p_retailprice), 2) AS price FROM part WHERE p_size >= 20 GROUP BY p_brand")
 def cheapest_meeting_target(t):
-    p = t("part").filter("p_size >= 20")
-    return p.groupBy("p_brand").agg(F.min_by("p_partkey", F.struct("p_retailprice", "p_partkey")).alias("cheapest"), F.round(F.min("p_retailprice"), 2).alias("price"))
+    best = reports.cheapest_meeting(t("part"), 20, "p_size", run="p_partkey", cost="p_retailprice", by=("p_brand",)).filter("p_size_run IS NOT NULL")
+    return best.select("p_brand", F.col("p_size_run").alias("cheapest"), F.round("p_size_cost", 2).alias("price"))
 
 
 # ---- sources' relational shapes, populations and samples ----
 
 @query("top_n_per_key", "SELECT o_custkey, o_orderkey, rn FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3")
 def top_n_per_key(t):
-    return t("orders").withColumn("rn", F.row_number().over(W.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), "o_orderkey"))).filter("rn <= 3").select("o_custkey", "o_orderkey", F.col("rn").cast("long").alias("rn"))
+    return reports.latest(t("orders"), "o_custkey", [F.desc("o_orderdate"), F.col("o_orderkey")], 3).select("o_custkey", "o_orderkey", "rn")
 
 
 @query("dedupe_keep_first", "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text")
@@ -335,24 +334,6 @@ def used_key_anti_join(t):
     return t("customer").join(t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
-def _frozen(customer: DataFrame, orders: DataFrame) -> DataFrame:
-    have = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    j = customer.select("c_custkey").join(have, F.col("c_custkey") == F.col("o_custkey"), "full")
-    state = F.when(F.col("c_custkey").isNull(), "extra").when(F.col("o_custkey").isNull(), "missing").otherwise("present")
-    return j.select(F.coalesce("c_custkey", "o_custkey").alias("key"), state.alias("state"), F.coalesce("n", F.lit(0)).alias("n"))
-
-
-@query("freeze_full_outer", "SELECT coalesce(c_custkey, o_custkey) AS key, CASE WHEN c_custkey IS NULL THEN 'extra' WHEN o_custkey IS NULL THEN 'missing' ELSE 'present' END AS state, coalesce(n, 0) AS n FROM customer FULL JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
-def freeze_full_outer(t):
-    return _frozen(t("customer"), t("orders"))
-
-
-@query("stratified_hash_sample", "SELECT o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('42|' || o_orderkey), o_orderkey) AS rn FROM orders) WHERE rn <= 15")
-def stratified_hash_sample(t):
-    order = W.partitionBy("o_orderpriority").orderBy(F.md5(F.concat(F.lit("42|"), F.col("o_orderkey").cast("string"))), "o_orderkey")
-    return t("orders").withColumn("rn", F.row_number().over(order)).filter("rn <= 15").select("o_orderkey", "o_orderpriority")
-
-
 @query("lateral_first_cell", "SELECT o_orderkey, c.l_linenumber, c.l_quantity FROM orders LEFT JOIN LATERAL (SELECT l_linenumber, l_quantity FROM lineitem WHERE l_orderkey = o_orderkey ORDER BY l_quantity DESC, l_linenumber LIMIT 1) c ON true")
 def lateral_first_cell(t):
     best = t("lineitem").groupBy("l_orderkey").agg(F.min(F.struct((-F.col("l_quantity")).alias("q"), "l_linenumber")).alias("b"))

@@ -13,7 +13,9 @@ CHUNK = (
     "section string, section_title string, is_table boolean, seq int, n_tokens int, source_url string, chunking_version string, extraction_version string, text string"
 )
 GOLD_STATES = ("labeled", "reviewed")
-GOLD = "id string, question string, status string, tier string, filters map<string,string>, gold array<struct<chunk_ids:array<string>,contains:array<string>,section:string,accession:string>>"
+#: A labelled question. Filter and evidence values that may be single or lists are read as arrays.
+EVIDENCE_KEYS = ("ticker", "form", "fiscal_year", "fiscal_period", "section", "accession", "accession_number", "is_table")
+GOLD = "qid string, question string, status string, tier string, filters map<string,string>, gold struct<chunk_ids:array<string>,evidence:array<map<string,string>>>, expected map<string,string>"
 
 
 def read_chunks(spark: SparkSession, path: str, schema: str = CHUNK) -> DataFrame:
@@ -38,7 +40,7 @@ def read_catalogue(spark: SparkSession, path: str, renames: dict[str, str] | Non
     """A CSV catalogue of chunks: quoted line breaks, a byte order mark, other column names; of rows with one chunk_id
     the first of the file stays."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
-    rows = rows.withColumnsRenamed({c: c.lstrip("﻿") for c in rows.columns}).withColumn("_at", F.monotonically_increasing_id())
+    rows = rows.withColumnsRenamed({c: c.lstrip("﻿") for c in rows.columns}).withColumn("_at", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
     names = {"accession_number": "accession", "company_name": "company", "reporting_period_end": "period_of_report"} | (renames or {})
     return keep_first(rows, ["chunk_id"], F.col("_at")).drop("_at").withColumnsRenamed({k: v for k, v in names.items() if k in rows.columns})
 
@@ -65,11 +67,38 @@ def columnar_rows(blocks: DataFrame, key: str, block: str, names: list[str]) ->
     return blocks.select(key, F.posexplode(zipped).alias("pos", "r")).select(key, "pos", *(F.col(f"r.{c}").alias(c) for c in names))
 
 
+def _listed(value: Column) -> Column:
+    """A JSON value as an array of strings: the items of a list, else the value alone; null stays null."""
+    return F.when(F.startswith(F.trim(value), F.lit("[")), F.from_json(value, "array<string>")).otherwise(F.when(value.isNotNull(), F.array(value)))
+
+
+def _lists(values: Column) -> Column:
+    return F.transform_values(values, lambda _, v: _listed(v))
+
+
 def read_gold(spark: SparkSession, path: str, drafts: bool = False, schema: str = GOLD) -> DataFrame:
-    """Gold questions of JSON lines: blank and // lines skipped, state labeled by default, with at least one gold item."""
+    """Gold questions of JSON lines: blank and // lines skipped, state labeled by default, with chunk ids or evidence.
+
+    Columns qid, question, status, tier, filters and expected (maps of arrays), chunk_ids, and evidence: an array of
+    (item, chunk_ids, spec, contains), where spec is a map of arrays over EVIDENCE_KEYS."""
     lines = spark.read.text(path).filter(~F.ltrim("value").startswith("//") & (F.trim("value") != ""))
     rows = lines.select(F.from_json("value", schema).alias("q")).select("q.*").withColumn("status", F.coalesce("status", F.lit("labeled")))
-    return rows.filter(F.col("status").isin(*GOLD_STATES, *(["draft"] if drafts else [])) & (F.size("gold") > 0))
+    rows = rows.filter(F.col("status").isin(*GOLD_STATES, *(["draft"] if drafts else [])))
+    rows = rows.filter((F.coalesce(F.size("gold.chunk_ids"), F.lit(0)) > 0) | (F.coalesce(F.size("gold.evidence"), F.lit(0)) > 0))
+
+    def item(e: Column, i: Column) -> Column:
+        lists = _lists(e)
+        get = lambda k: F.try_element_at(lists, F.lit(k))
+        spec = F.map_filter(lists, lambda k, v: k.isin(*EVIDENCE_KEYS) & v.isNotNull())
+        return F.struct(i.alias("item"), get("chunk_ids").alias("chunk_ids"), F.when(F.size(spec) > 0, spec).alias("spec"), get("contains").alias("contains"))
+
+    return rows.select("qid", "question", "status", "tier", _lists(F.col("filters")).alias("filters"), _lists(F.col("expected")).alias("expected"), F.col("gold.chunk_ids").alias("chunk_ids"), F.transform("gold.evidence", item).alias("evidence"))
+
+
+def evidence_items(gold: DataFrame) -> DataFrame:
+    """(qid, item, chunk_ids, spec, contains) of read gold questions; their chunk ids alone are an item of their own."""
+    own = gold.filter(F.size("chunk_ids") > 0).select("qid", F.lit(-1).alias("item"), "chunk_ids", F.lit(None).cast("map<string,array<string>>").alias("spec"), F.lit(None).cast("array<string>").alias("contains"))
+    return gold.select("qid", F.explode("evidence").alias("e")).select("qid", "e.*").unionByName(own)
 
 
 def read_coverage(spark: SparkSession, path: str) -> DataFrame:
@@ -84,6 +113,15 @@ def coverage_of(chunks: DataFrame) -> DataFrame:
     return keep_first(chunks, ["accession"], F.col("pos") if "pos" in chunks.columns else F.col("chunk_id"))
 
 
+def freeze_check(frozen: DataFrame, chunks: DataFrame, sets: int = 1) -> DataFrame:
+    """(key, state, n) of every key of the freeze list frozen(key) and of chunks(key, set_id): present, extra, missing or
+    set_mismatch, where a filing has more than `sets` processing sets; n counts its chunks."""
+    have = chunks.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("set_id").alias("_sets"))
+    j = frozen.select("key", F.lit(True).alias("_frozen")).join(have, "key", "full")
+    state = F.when(F.col("_frozen").isNull(), "extra").when(F.col("n").isNull(), "missing").when(F.col("_sets") > sets, "set_mismatch").otherwise("present")
+    return j.select("key", state.alias("state"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def read_answers(spark: SparkSession, path: str, schema: str, key: str, at: str) -> DataFrame:
     """A cache of JSON lines: broken lines are left out, of equal keys the last by `at` counts."""
     rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path).filter(F.col(key).isNotNull())

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from filigrain.operators import dense, latent, requests as R
+from filigrain.operators import dense, latent, reports, requests as R
 from filigrain.sources import tables
 from filigrain.streaming import logs
 
@@ -79,9 +79,20 @@ def test_sources(spark, tmp_path):
         tables.read_chunks(spark, file("e.jsonl", ""))
     rows = tables.read_catalogue(spark, file("c.csv", '﻿chunk_id,accession_number,text\n1,A,"two\nlines ""q"""\n1,B,again\n2,C,z\n')).orderBy("chunk_id").collect()
     assert [(r["chunk_id"], r["accession"], r["text"]) for r in rows] == [("1", "A", 'two\nlines "q"'), ("2", "C", "z")]
-    gold = [{"id": "1", "gold": [{"contains": ["x"]}]}, {"id": "2", "gold": []}, {"id": "3", "status": "draft", "gold": [{"chunk_ids": ["c"]}]}]
+    spec = {"ticker": "a", "form": ["10-K", "10-Q"], "contains": ["x", "y"], "region": "r"}
+    gold = [
+        {"qid": "1", "question": "?", "filters": {"ticker": ["A", "B"], "fiscal_year": 2031}, "gold": {"chunk_ids": [], "evidence": [spec, {"chunk_ids": ["c"]}]}},
+        {"qid": "2", "gold": {"chunk_ids": [], "evidence": []}}, {"qid": "3", "status": "draft", "gold": {"chunk_ids": ["c"]}}, {"qid": "4"},
+    ]
     path = file("g.jsonl", "// note\n\n" + "\n".join(map(json.dumps, gold)))
-    assert [r["id"] for r in tables.read_gold(spark, path).collect()] == ["1"] and tables.read_gold(spark, path, drafts=True).count() == 2
+    (read,) = tables.read_gold(spark, path).collect()
+    assert read["qid"] == "1" and read["filters"] == {"ticker": ["A", "B"], "fiscal_year": ["2031"]}
+    assert [tuple(e) for e in read["evidence"]] == [(0, None, {"ticker": ["a"], "form": ["10-K", "10-Q"]}, ["x", "y"]), (1, ["c"], None, None)]
+    drafts = tables.read_gold(spark, path, drafts=True)
+    assert [r["qid"] for r in drafts.orderBy("qid").collect()] == ["1", "3"]
+    held = [("c", "nothing", "Z", "8-K"), ("d", "has X then Y", "A", "10-q"), ("e", "has x alone", "A", "10-K"), ("f", "x y", "B", "10-K")]
+    hits = reports.evidence_hits(tables.evidence_items(drafts), spark.createDataFrame(held, "chunk_id string, text string, ticker string, form string"))
+    assert sorted(map(tuple, hits.collect())) == [("1", 0, "d"), ("1", 1, "c"), ("3", -1, "c")]
     cover = tables.read_coverage(spark, file("m.csv", "ticker,validation_status\nA,passed\nB,failed\nC,\n"))
     assert [r["ticker"] for r in cover.collect()] == ["A", "C"]
     answers = tables.read_answers(spark, file("a.jsonl", '{"k": "1", "t": 1, "v": "old"}\n{"k": "1", "t": 2, "v": "new"}\n{"k": "1", "t'), "k string, t int, v string", "k", "t")
