@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 #: The token pattern and the stop list of lexical ranking.
@@ -16,6 +18,16 @@ DASH = "^[—–-]+$"
 LEGAL_SUFFIX = r"\b(?:incorporated|inc|corporation|corp|company|co|limited|ltd|plc|llc|lp|holdings|group)\b\.?"
 
 
+def _unaccented() -> tuple[str, str]:
+    """Lower-case letters of Latin scripts that decompose (NFKD) to one ASCII letter and marks, and that letter."""
+    pairs = [(c, unicodedata.normalize("NFKD", c)[0]) for c in map(chr, range(0xC0, 0x250)) if c.islower()]
+    pairs = [(c, d) for c, d in pairs if d.isascii() and d != c]
+    return "".join(c for c, _ in pairs), "".join(d for _, d in pairs)
+
+
+ACCENTED, UNACCENTED = _unaccented()
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased tokens without stop words; possessive endings are dropped."""
     low = F.replace(F.replace(F.lower(text), F.lit("’"), F.lit("'")), F.lit("'s "), F.lit(" "))
@@ -84,8 +96,11 @@ def prose_numbers(text: Column) -> Column:
 
 
 def normal_name(name: Column) -> Column:
-    """Company name for matching: lower case, legal suffixes and punctuation dropped, blanks collapsed."""
-    bare = F.regexp_replace(F.regexp_replace(F.lower(name), LEGAL_SUFFIX, " "), "[^a-z0-9& ]", " ")
+    """Company name for matching: letters without accents, lower case, legal suffixes and punctuation but apostrophes
+    dropped, blanks collapsed."""
+    low = F.lower(F.replace(name, F.lit("’"), F.lit("'")))
+    plain = F.translate(low, ACCENTED, UNACCENTED)
+    bare = F.regexp_replace(F.regexp_replace(plain, LEGAL_SUFFIX, " "), "[^a-z0-9&' ]", " ")
     return F.trim(F.regexp_replace(bare, " +", " "))
 
 

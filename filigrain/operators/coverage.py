@@ -179,3 +179,59 @@ def check(requests: DataFrame, filings: DataFrame, combine: str = "product") ->
     n, hits = F.coalesce("targets", F.lit(0)), F.coalesce("hits", F.lit(0))
     status = F.when((n == 0) & (F.col("_u") == 0), "no_target").when(n == 0, "unresolved").when((hits == n) & (F.col("_u") == 0), "all_hit").when(hits == 0, "none").otherwise("partial")
     return j.select("qid", n.alias("targets"), hits.alias("hits"), status.alias("status"), F.coalesce("accessions", F.array().cast("array<string>")).alias("accessions"))
+
+
+def alias_table(filings: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+    """(alias, ticker) of filings(ticker, company): tickers, normal company names and those without apostrophes, and
+    extra(alias, ticker). An alias of several tickers goes to extra names first, then to the last ticker."""
+    named = F.transform(F.array(normal_name(F.col("company")), F.replace(normal_name(F.col("company")), F.lit("'"), F.lit(""))), lambda n: F.struct(n.alias("alias"), F.lit(1).alias("tier")))
+    own = filings.select("ticker", F.explode(F.concat(named, F.array(F.struct(F.lower("ticker").alias("alias"), F.lit(0).alias("tier"))))).alias("a")).select("a.alias", "ticker", "a.tier")
+    if extra is not None:
+        own = own.unionByName(extra.select(normal_name(F.col("alias")).alias("alias"), "ticker", F.lit(2).alias("tier")))
+    kept = own.filter(F.coalesce("alias", F.lit("")) != "").groupBy("alias").agg(F.max_by("ticker", F.struct("ticker", "tier")).alias("ticker"))
+    return kept
+
+
+def filing_label(form: Column, year: Column, period: Column, period_end: Column) -> Column:
+    """How a filing is named in messages: form, fiscal year and period, period end; what is null is left out."""
+    fiscal = F.when(year.isNotNull(), F.concat_ws(" ", F.concat(F.lit("FY"), year.cast("string")), period))
+    return F.concat(F.concat_ws(" ", form, fiscal), F.coalesce(F.concat(F.lit(", period ended "), period_end.cast("string")), F.lit("")))
+
+
+def available(filings: DataFrame) -> DataFrame:
+    """(ticker, available): the labels of each company's filings, by period end and form."""
+    label = filing_label(F.col("form"), F.col("fiscal_year"), F.col("fiscal_period"), F.col("period_end"))
+    rows = filings.groupBy("ticker").agg(F.array_sort(F.collect_set(F.struct(F.coalesce("period_end", F.lit("0001-01-01").cast("date")).alias("e"), "form", label.alias("l")))).alias("a"))
+    return rows.select("ticker", F.transform("a", lambda x: x["l"]).alias("available"))
+
+
+def messages(requests: DataFrame, filings: DataFrame, combine: str = "product") -> DataFrame:
+    """(qid, status, message): what a pre-check says of each request. Unresolved names first, then what no filing covers,
+    then what there is of the companies concerned."""
+    found = targets(requests, filings, combine)
+    asked = F.concat_ws(" ", "ticker", "form", F.concat(F.lit("FY"), F.col("fiscal_year").cast("string")), "fiscal_period", F.concat(F.lit("period ended "), F.col("period_end").cast("string")))
+    missing = found.filter("status = 'miss'").join(available(filings), "ticker", "left")
+    have = F.concat(F.lit("For "), F.col("ticker"), F.lit(" we have: "), F.array_join(F.coalesce("available", F.array().cast("array<string>")), "; "), F.lit("."))
+    per = missing.groupBy("qid").agg(F.array_sort(F.collect_set(asked)).alias("_m"), F.array_sort(F.collect_set(have)).alias("_h"))
+    names = F.coalesce(F.col("unresolved"), F.array().cast("array<string>")) if "unresolved" in requests.columns else F.array().cast("array<string>")
+    j = check(requests, filings, combine).join(requests.select("qid", names.alias("_u")), "qid").join(per, "qid", "left")
+    unknown = F.when(F.size("_u") > 0, F.concat(F.lit("Not in our database: "), F.array_join("_u", ", "), F.lit(".")))
+    lost = F.when(F.size("_m") > 0, F.concat(F.lit("No filing in our database covers: "), F.array_join("_m", "; "), F.lit(".")))
+    told = F.concat_ws(" ", unknown, lost, F.array_join("_h", " "))
+    text = F.when(F.col("status") == "no_target", "The question names no company, so there is nothing to pre-check.").when(F.col("status") == "all_hit", "All requested filings are in the database.").otherwise(F.trim(told))
+    return j.select("qid", "status", text.alias("message"))
+
+
+def typo(name: Column, seed: int) -> Column:
+    """The name with one edit drawn by a hash of name and seed: a letter dropped, doubled or swapped with the next."""
+    n = F.char_length(name)
+    h = F.pmod(F.xxhash64(name, F.lit(seed)), F.lit(1 << 31)).cast("int")
+    at = (F.pmod(h, F.greatest(n - 1, F.lit(1))) + 1).cast("int")
+    head, one, two, rest = F.substring(name, F.lit(1), at - 1), F.substring(name, at, F.lit(1)), F.substring(name, at + 1, F.lit(1)), F.substring(name, at + 2, F.lit(1 << 20))
+    kinds = F.array(F.concat(head, two, rest), F.concat(head, one, one, two, rest), F.concat(head, two, one, rest))
+    return F.when(n < 2, name).otherwise(F.get(kinds, F.pmod(F.shiftright(h, 8), F.lit(3)).cast("int")))
+
+
+def replay(requests: DataFrame, filings: DataFrame, combine: str = "product") -> DataFrame:
+    """(status, n) of a batch of requests."""
+    return check(requests, filings, combine).groupBy("status").agg(F.count(F.lit(1)).alias("n"))

@@ -1,4 +1,4 @@
-"""Exact dense ranking: unit vectors, dot products in double, many queries at once."""
+"""Exact dense ranking: unit vectors, dot products in double, blocks of queries against batches of rows."""
 
 from __future__ import annotations
 
@@ -19,40 +19,49 @@ def unit(v: Column) -> Column:
     return F.transform(v, lambda x: x.cast("double") / F.greatest(norm(v), F.lit(1e-12)))
 
 
-def dense(vectors: DataFrame, query_vectors: DataFrame, candidates: int = 100, most_queries: int = 10_000) -> DataFrame:
-    """(qid, pos, score, rank) of query_vectors(qid, vec) against vectors(pos, embedding).
+def dense(vectors: DataFrame, query_vectors: DataFrame, candidates: int = 100, most_queries: int = 256) -> DataFrame:
+    """(qid, pos, score, rank) of query_vectors(qid, vec) against vectors(pos, embedding); ties by position.
 
-    Query vectors go to every block of rows, so they are sent in blocks of about `most_queries`, cut by a hash of
-    qid, and the blocks' results are put together."""
+    Queries go in blocks of about `most_queries`, cut by a hash of qid, whose matrix is small whatever their number;
+    each batch of rows is one matrix product, and only its best candidates per query leave it."""
+    kind = dict(query_vectors.dtypes)["qid"]
     blocks = max(1, -(-query_vectors.count() // most_queries))
     block = F.pmod(F.xxhash64("qid"), F.lit(blocks))
+    found = None
+    for i in range(blocks):
+        some = query_vectors.filter(block == i) if blocks > 1 else query_vectors
+        one = _scored(vectors, some.orderBy("qid").collect(), candidates, kind)  # about most_queries rows
+        found = one if found is None else found.union(one)
+    return top(found, candidates, positive=False)
 
-    def ranked(queries: DataFrame) -> DataFrame:
-        pairs = vectors.join(F.broadcast(queries))
-        return top(pairs.select("qid", "pos", dot(F.col("embedding"), F.col("vec")).alias("score")), candidates, positive=False)
 
-    out = ranked(query_vectors.filter(block == 0) if blocks > 1 else query_vectors)
-    for i in range(1, blocks):
-        out = out.union(ranked(query_vectors.filter(block == i)))
-    return out
-
-
-def dense_numpy(vectors: DataFrame, query_vectors: DataFrame, candidates: int = 100) -> DataFrame:
-    """As dense, with one matrix product per Arrow batch; only each batch's best candidates leave it."""
+def _scored(vectors: DataFrame, queries: list, candidates: int, kind: str, rows: int = 4096) -> DataFrame:
     import numpy as np
 
-    rows = query_vectors.orderBy("qid").collect()
-    ids, matrix = np.array([r["qid"] for r in rows]), np.array([r["vec"] for r in rows], float)
+    ids = [r["qid"] for r in queries]
+    matrix = np.array([r["vec"] for r in queries], float).T
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         for batch in batches:
-            if not len(batch) or not len(ids):
-                continue
-            s = np.round(np.stack(batch["embedding"].to_numpy()).astype(float) @ matrix.T, 6)
-            for j, q in enumerate(ids):
-                best = np.lexsort((batch["pos"].to_numpy(), -s[:, j]))[:candidates]
-                yield pd.DataFrame({"qid": q, "pos": batch["pos"].to_numpy()[best], "score": s[best, j]})
-
-    return top(vectors.select("pos", "embedding").mapInPandas(run, "qid long, pos long, score double"), candidates, positive=False)
+            for a in range(0, batch.num_rows if ids else 0, rows):
+                part = batch.slice(a, rows)
+                held = part.column("embedding")
+                pos = part.column("pos").to_numpy()
+                scores = np.round(held.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(pos), -1) @ matrix, 6)
+                kth = min(candidates, len(pos))
+                least = np.partition(scores, len(pos) - kth, axis=0)[len(pos) - kth]
+                for j, q in enumerate(ids):
+                    some = np.flatnonzero(scores[:, j] >= least[j])
+                    best = some[np.lexsort((pos[some], -scores[some, j]))[:candidates]]
+                    yield pa.RecordBatch.from_arrays([pa.array([q] * len(best), qid), pa.array(pos[best]), pa.array(scores[best, j])], ["qid", "pos", "score"])
+
+    qid = _arrow(kind)
+    return vectors.select(F.col("pos").cast("long").alias("pos"), "embedding").mapInArrow(run, f"qid {kind}, pos long, score double")
+
+
+def _arrow(kind: str):
+    import pyarrow as pa
+
+    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]

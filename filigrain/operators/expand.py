@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from filigrain.functions.text import token_count
 
@@ -13,6 +13,33 @@ def neighbours(seeds: DataFrame, chunks: DataFrame, group: str, seq: str, window
     return at.join(chunks.select(group, seq), [group, seq]).select(group, "seed_seq", seq)
 
 
+def with_neighbours(ranked: DataFrame, chunks: DataFrame, group: list[str], seq: str, top_k: int, n_seed: int = 3, window: int = 1, allowed: Column | None = None) -> DataFrame:
+    """(qid, pos, rank): the first n_seed results each followed by the chunks within `window` places of the same group,
+    nearer ones and those before first, then the other results; a chunk stays where it comes first, top_k in all.
+    chunks(pos, group ..., seq); `allowed` is a condition on them."""
+    at = ranked.join(chunks.select("pos", *group, seq), "pos")
+    near = at.filter(F.col("rank") <= n_seed).select("qid", "rank", *group, F.col(seq).alias("_s"), F.explode(F.array(*[F.lit(d) for w in range(1, window + 1) for d in (-w, w)])).alias("_d"))
+    near = near.withColumn(seq, F.col("_s") + F.col("_d"))
+    held = chunks if allowed is None else chunks.filter(allowed)
+    found = near.join(held.select("pos", *group, seq), [*group, seq]).select("qid", "pos", F.struct(F.col("rank").alias("a"), F.lit(1).alias("b"), F.abs("_d").alias("c"), F.col("_d").alias("d")).alias("o"))
+    own = ranked.select("qid", "pos", F.struct(F.col("rank").alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"), F.lit(0).alias("d")).alias("o"))
+    first = own.unionByName(found).groupBy("qid", "pos").agg(F.min("o").alias("o"))
+    place = F.row_number().over(W.partitionBy("qid").orderBy("o", "pos"))
+    return first.withColumn("rank", place).filter(F.col("rank") <= top_k).select("qid", "pos", "rank")
+
+
+def parent_scores(ranked: DataFrame, parents: DataFrame, hits: DataFrame, top_k: int) -> DataFrame:
+    """(qid, parent_recall, parent_tokens) of the first top_k distinct parents: parents(pos, parent_id, n_tokens), hits(qid,
+    item, parent_id): which parents satisfy which item, null where none does."""
+    kept = distinct_parents(ranked.join(parents.select("pos", "parent_id"), "pos"), "parent_id", top_k)
+    sizes = parents.groupBy("parent_id").agg(F.first("n_tokens").alias("n_tokens"))
+    cost = kept.join(sizes, "parent_id").groupBy("qid").agg(F.sum("n_tokens").alias("parent_tokens"))
+    items = hits.groupBy("qid").agg(F.count_distinct("item").alias("_n"))
+    got = hits.join(kept, ["qid", "parent_id"], "left_semi").groupBy("qid").agg(F.count_distinct("item").alias("_g"))
+    j = items.join(got, "qid", "left").join(cost, "qid", "left")
+    return j.select("qid", F.round(F.coalesce("_g", F.lit(0)) / F.col("_n"), 4).alias("parent_recall"), F.coalesce("parent_tokens", F.lit(0)).alias("parent_tokens"))
+
+
 def parent_windows(chunks: DataFrame, group: str, seq: str, text: str, key: str, tables: DataFrame | None = None, cap: int = 1500) -> DataFrame:
     """chunks plus parent_id and parent_text: of previous + self + next, self + next and self the first whose text, joined
     by blank lines, fits the cap; self fits always. The id is win: and the keys, joined by bars.

@@ -42,3 +42,13 @@ def round_robin(targets: DataFrame, top_k: int) -> DataFrame:
     first = targets.withColumn("_n", F.row_number().over(W.partitionBy("qid", "pos").orderBy("rank", "label"))).filter("_n = 1")
     place = F.row_number().over(W.partitionBy("qid").orderBy("depth", "label"))
     return first.withColumnRenamed("rank", "depth").withColumn("rank", place).filter(F.col("rank") <= top_k).select("qid", "pos", "rank", "label")
+
+
+def union_search(lexical: DataFrame, dense: DataFrame, fused: DataFrame, top_k: int, each: int | None = None) -> DataFrame:
+    """(qid, pos, rank): the first `each` of both lists interleaved, half of top_k by default, then the fused order."""
+    each = each or top_k // 2
+    heads = interleave([d.filter(F.col("rank") <= each) for d in (lexical, dense)], 2 * each)
+    rows = heads.select("qid", "pos", F.lit(0).alias("part"), F.col("rank").alias("at")).unionByName(fused.select("qid", "pos", F.lit(1).alias("part"), F.col("rank").alias("at")))
+    first = rows.groupBy("qid", "pos").agg(F.min(F.struct("part", "at")).alias("o"))
+    place = F.row_number().over(W.partitionBy("qid").orderBy("o.part", "o.at"))
+    return first.withColumn("rank", place).filter(F.col("rank") <= top_k).select("qid", "pos", "rank")

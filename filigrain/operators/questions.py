@@ -12,7 +12,6 @@ ISO = r"\b(?:19|20)\d\d-\d{2}-\d{2}\b"
 FISCAL_YEAR = r"(?i)\b(?:FY|fiscal(?:\s+year)?)\s*'?(\d{4}|\d{2})\b"
 QUARTER = r"(?i)\bQ([1-4])\b"
 FORM = r"(?i)\b10-?([KQ])\b"
-MOST_WORDS = 6
 
 
 def period_ends(question: Column) -> Column:
@@ -32,13 +31,16 @@ def periods(question: Column) -> list[Column]:
 
 
 def companies(questions: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(qid, tickers) of questions(qid, question) by aliases(alias, ticker): runs of up to six words that are an alias
-    in normal form, longest first; words of a longer alias serve no shorter one. A ticker itself counts in capitals.
+    """(qid, tickers) of questions(qid, question) by aliases(alias, ticker): runs of words that are an alias in normal
+    form, longest first; words of a longer alias serve no shorter one. A ticker itself counts in capitals. Runs are as
+    long as some alias is, with room for a legal ending of one or two words.
 
     Runs of words are joined with aliases, so neither side has to fit on one machine."""
+    sizes = aliases.select(F.size(F.split(normal_name(F.col("alias")), " ")).alias("n")).distinct()
+    lengths = sorted({1, *(r["n"] + extra for r in sizes.collect() for extra in (0, 1, 2))})  # one number for each length
     words = questions.select("qid", F.split(F.trim(F.regexp_replace("question", r"[^A-Za-z0-9&']+", " ")), " ").alias("w"))
     words = words.withColumn("w", F.transform("w", lambda x: F.regexp_replace(x, "'s$|'", "")))
-    at = words.select("qid", "w", F.posexplode("w").alias("i", "_")).select("qid", "w", "i", F.explode(F.sequence(F.lit(1), F.lit(MOST_WORDS))).alias("n")).filter(F.col("i") + F.col("n") <= F.size("w"))
+    at = words.select("qid", "w", F.posexplode("w").alias("i", "_")).select("qid", "w", "i", F.explode(F.array(*map(F.lit, lengths))).alias("n")).filter(F.col("i") + F.col("n") <= F.size("w"))
     runs = at.select("qid", "i", "n", F.array_join(F.slice("w", F.col("i") + 1, F.col("n")), " ").alias("run"))
     known = aliases.select(normal_name(F.col("alias")).alias("key"), "ticker").filter("key <> ''").groupBy("key").agg(F.min("ticker").alias("ticker"))
     tickers = aliases.select(F.col("ticker").alias("run"), "ticker").distinct()

@@ -108,7 +108,7 @@ def dense_batch(t):
 
 @query("dense_numpy_batch", f"WITH {_DENSE} SELECT qid, pos, score, rank FROM dr WHERE rank <= 10")
 def dense_numpy_batch(t):
-    return dense.dense_numpy(_vectors(t), _vector_queries(t), 10)
+    return dense.dense(_vectors(t), _vector_queries(t), 10)
 
 
 @query("dense_filtered", f"WITH {_DENSE} SELECT qid, pos, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos) AS rank FROM ds WHERE pos IN (SELECT vec_id FROM embeddings WHERE label = 3)) x(qid, pos, score, rank) WHERE rank <= 10")
@@ -291,7 +291,7 @@ def paired_wins_losses(t):
 @query("nearest_index_percentiles", "WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events) SELECT event_type, max(value) FILTER (i = round_even(0.5 * (n - 1), 0)) AS p50, max(value) FILTER (i = round_even(0.95 * (n - 1), 0)) AS p95 FROM r GROUP BY event_type")
 def nearest_index_percentiles(t):
     e = t("events")
-    return evaluate.nearest_index_percentile(e, ["event_type"], "value", 0.5, "p50").join(evaluate.nearest_index_percentile(e, ["event_type"], "value", 0.95, "p95"), "event_type")
+    return evaluate.nearest_index_percentile(e, ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
 
 
 @query("cohen_kappa", "WITH c AS (SELECT quality AS a, toxic AS b, count(*) AS n FROM labels GROUP BY ALL), t AS (SELECT sum(n) AS t, sum(CASE WHEN a = b THEN n ELSE 0 END) AS s FROM c), e AS (SELECT sum(ra * cb) AS e FROM (SELECT a, sum(n) AS ra FROM c GROUP BY a) JOIN (SELECT b, sum(n) AS cb FROM c GROUP BY b) ON a = b) SELECT t::BIGINT AS n, round(s / t, 6) AS agreement, round((s / t - e / (t * t)) / (1 - e / (t * t)), 6) AS kappa FROM t, e")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
 from filigrain.operators import lexical
 from filigrain.operators.requests import Index, RetrievalUnavailableError
+from filigrain.session import written
 
 #: The stored chunk's columns; gold states that count.
 CHUNK = (
@@ -159,13 +160,14 @@ def read_database(spark: SparkSession, url: str, query: str, fallback: str | Non
 
 
 def with_positions(chunks: DataFrame, order: str = "chunk_id") -> DataFrame:
-    """chunks with pos, gapless places in the order of a column: range partitions are counted, then numbered."""
+    """chunks with pos, gapless places in the order of a column. The sorted ranges are written once, as a range read a
+    second time could be cut elsewhere; then they are counted, and every row adds what stands before its range."""
     n = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = chunks.repartitionByRange(n, order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id())
-    rows = rows.withColumn("_i", F.row_number().over(W.partitionBy("_part").orderBy(order)))
+    ranges = chunks.repartitionByRange(n, order).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id())
+    rows = written(ranges.withColumns({"_part": F.shiftright("_id", 33), "_i": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id"), "positions")
     base = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_base", base)
-    return rows.join(F.broadcast(counts), "_part").withColumn("pos", (F.col("_base") + F.col("_i") - 1).cast("long")).drop("_part", "_i", "_n", "_base")  # counts: a row a partition
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_base", base).select("_part", "_base")
+    return rows.join(F.broadcast(counts), "_part").withColumn("pos", F.col("_base") + F.col("_i")).drop("_part", "_i", "_base")  # counts: a row a partition
 
 
 def version_of(chunks: DataFrame) -> str:
