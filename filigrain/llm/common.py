@@ -98,26 +98,38 @@ def fits_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if rows * 16 * len(df.columns) + sum(b or 0 for b in bytes_) <= BROADCAST_BYTES else df
 
 
-#: Keys that hold more than this share of the rows are spread over several tasks.
-HOT_SHARE = 1 / 4096
+#: A key is hot if it holds more than this share of the rows and more than this number of narrow or wide ones, which a
+#: task takes at ease.
+HOT_SHARE, HOT_ROWS, HOT_WIDE_ROWS = 1 / 4096, 10_000, 1_000
 
 
-def split_join(many: DataFrame, one: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """many joined with narrow rows of one, which has one row per key and in `n` how many of the `total` rows of many hold
+def _hot_limit(one: DataFrame, least: int) -> int | None:
+    """Rows above which a key of one (with n, how many rows hold it) is hot; None if no key is."""
+    most, total = one.agg(F.max("n"), F.sum("n")).first()
+    limit = max(least, math.ceil((total or 0) * HOT_SHARE))
+    return limit if (most or 0) > limit else None
+
+
+def split_join(many: DataFrame, one: DataFrame, keys: list[str]) -> DataFrame:
+    """many joined with narrow rows of one, a written table that has one row per key and in `n` how many rows of many hold
     it.
 
-    Keys that hold more than HOT_SHARE of the rows are fewer than 1 / HOT_SHARE, whatever the tables' size; their rows
-    of `one` are broadcast, so the rows of many that hold them stay where they lie. The others are shuffled."""
-    limit = max(1, math.ceil(total * HOT_SHARE))
+    Hot keys are fewer than 1 / HOT_SHARE, whatever the tables' size; their rows of `one` are broadcast, so the rows of
+    many that hold them stay where they lie. The others are shuffled."""
+    limit = _hot_limit(one, HOT_ROWS)
+    if limit is None:
+        return many.join(one, keys)
     hot = one.filter(F.col("n") > limit)
     rest = many.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(one.filter(F.col("n") <= limit), keys)
     return many.join(F.broadcast(hot), keys).unionByName(rest)
 
 
-def spread_join(many: DataFrame, one: DataFrame, keys: list[str], by: str, total: int) -> DataFrame:
-    """As split_join for wide rows of one: rows of a hot key are dealt by column `by` over as many tasks as hold HOT_SHARE
-    each, and its row of `one` is sent to all of them; only the keys are broadcast."""
-    limit = max(1, math.ceil(total * HOT_SHARE))
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """As split_join for wide rows: rows of a hot key are dealt by column `by` over as many tasks as hold a share each, and
+    its row of `one` is sent to all of them; only the keys are broadcast."""
+    limit = _hot_limit(one, HOT_WIDE_ROWS)
+    if limit is None:
+        return many.join(one, keys)
     tasks = F.ceil(F.col("n") / F.lit(limit)).cast("int")
     hot = F.broadcast(one.filter(F.col("n") > limit).select(*keys, tasks.alias("_tasks")))
     salt = F.coalesce(F.pmod(F.xxhash64(by), F.col("_tasks")), F.lit(0)).cast("int")

@@ -100,9 +100,9 @@ def postings(classes: DataFrame, coords: int, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes)], ["key", "node"])
 
     rows = written(classes.select("node", "signature").mapInArrow(explode, "key long, node long"), "coordinates")
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
     # pairs that no other class has stay out of the join's output; how many a class has follows from the rest
-    common = split_join(rows, shared, ["key"], rows.count())
+    common = split_join(rows, shared, ["key"])
     per = common.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("at"), F.sum("n").alias("score"))
     prefix = coords - least + 1
     left = F.greatest(F.lit(0), F.lit(prefix - coords) + F.size("at"))
@@ -112,7 +112,7 @@ def postings(classes: DataFrame, coords: int, least: int) -> DataFrame:
 def merged(lists: DataFrame, hub_of: DataFrame) -> DataFrame:
     """(a, b, met): members of the merged lists and their hubs; met has a bit for each coordinate at which a list
     counted a collision of the two."""
-    pairs = split_join(lists, hub_of, ["key"], lists.count()).filter("node <> b")
+    pairs = split_join(lists, hub_of, ["key"]).filter("node <> b")
     return pairs.groupBy(F.col("node").alias("a"), "b").agg(F.bit_or(F.expr("shiftleft(1L, int(shiftright(key, 32)))")).alias("met"))
 
 
@@ -132,8 +132,8 @@ def matching(pairs: DataFrame, classes: DataFrame, coords: int, least: int) -> D
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(collisions >= least))
 
     sign = classes.select("node", "signature")
-    hubs = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(sign.toDF("b", "sb"), "b")
-    both = split_join(pairs, hubs, ["b"], pairs.count()).join(sign.toDF("a", "sa"), "a")
+    hubs = written(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(sign.toDF("b", "sb"), "b"), "hubs")
+    both = split_join(pairs, hubs, ["b"]).join(sign.toDF("a", "sa"), "a")
     return both.select("a", "b", "met", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
@@ -146,8 +146,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def with_both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) with set_a and set_b. The hubs b are few; their sets travel, spread where many pairs hold one."""
     left = pairs.select("a", "b").join(sets.toDF("a", "set_a"), "a")
-    hubs = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(sets.toDF("b", "set_b"), "b")
-    return spread_join(left, hubs, ["b"], "a", pairs.count()).drop("n")
+    hubs = written(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(sets.toDF("b", "set_b"), "b"), "hubs")
+    return spread_join(left, hubs, ["b"], "a").drop("n")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, coords: int = COORDS) -> DataFrame:
@@ -221,13 +221,12 @@ def cross_pairs(lists: DataFrame, hub_of: DataFrame, roots: DataFrame, sets: Dat
     t = percent / 100
     placed = lists.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    members = split_join(placed, mixed.join(hub_of, "key"), ["key"], lists.count()).filter("node <> b")
+    members = split_join(placed, written(mixed.join(hub_of, "key"), "mixed"), ["key"]).filter("node <> b")
     members = written(members.groupBy(F.col("node").alias("a"), "b").agg(F.max("root").alias("root")), "members")
     rest = written(residuals(members.select("a", "b"), sets), "residuals")
     each = rest.select("a", "b", F.explode("rest").alias("f"))
-    shared = each.groupBy("b", "f").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    total = rest.agg(F.sum(F.size("rest"))).first()[0] or 0
-    common = split_join(each, shared, ["b", "f"], total).groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("n", "f"))).alias("s"))
+    shared = written(each.groupBy("b", "f").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
+    common = split_join(each, shared, ["b", "f"]).groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("n", "f"))).alias("s"))
     size = F.size("rest")
     rows = rest.select("a", "b", "n_b", size.alias("r"), (F.lit((1 - t) / (1 + t) * (1 + 1 / t)) * F.col("n_a")).alias("d"))
 

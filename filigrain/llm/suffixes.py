@@ -118,7 +118,7 @@ def positions(equal: DataFrame) -> DataFrame:
         split = F.broadcast(counts.filter(F.col("n") > most).select("hash", F.lit(True).alias("split")))
         marked = equal.join(split, "hash", "left").withColumn("split", F.coalesce("split", F.lit(False)))
     else:
-        marked = split_join(equal, counts, ["hash"], total).withColumn("split", F.col("n") > most)
+        marked = split_join(equal, written(counts, "counts"), ["hash"]).withColumn("split", F.col("n") > most)
     nth, word = F.shiftright("word", 32).cast("int").alias("nth"), F.col("word").bitwiseAND((1 << 32) - 1).cast("int").alias("word")
     return marked.groupBy("doc_id", nth).agg(F.collect_list(F.struct(word, "split")).alias("at"))
 
@@ -258,8 +258,8 @@ def counted_windows(suffixes: DataFrame, seed: int, least: int) -> DataFrame:
 
     windows = written(suffixes.select("doc_id", "word", "ahead", "behind").mapInArrow(run, "hash long, other long, back int, doc_id long, `from` long"), "windows")
     shared = windows.groupBy("hash", "other", "back").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("n"))
-    shared = shared.filter("first_doc_id <> _last").drop("_last")
-    met = split_join(windows, shared, ["hash", "other", "back"], windows.count())
+    shared = written(shared.filter("first_doc_id <> _last").drop("_last"), "shared")
+    met = split_join(windows, shared, ["hash", "other", "back"])
     return met.select("doc_id", "from", (F.col("from") + least).alias("to"), "first_doc_id", F.col("n").alias("occurrences"))
 
 
