@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 
 def score(results: DataFrame, hits: DataFrame, ks: tuple[int, ...] = (5, 10), expected: DataFrame | None = None) -> DataFrame:
@@ -42,18 +42,25 @@ def paired(a: DataFrame, b: DataFrame, key: str, metric: str) -> DataFrame:
     return j.agg(F.count_if(F.col("y") > F.col("x")).alias("wins"), F.count_if(F.col("y") < F.col("x")).alias("losses"), F.count_if(F.col("y") == F.col("x")).alias("ties"))
 
 
-def nearest_index_percentile(df: DataFrame, keys: list[str], value: str, qs: dict[str, float], accuracy: int = 10_000) -> DataFrame:
-    """Per keys and name of qs the value at index round-half-even(q (n - 1)) of the ascending non-null values.
+def nearest_index_percentile(df: DataFrame, keys: list[str], value: str, qs: dict[str, float], accuracy: int = 10_000, floor: bool = False) -> DataFrame:
+    """Per keys and name of qs the value at index round-half-even(q (n - 1)) of the ascending non-null values, or with
+    `floor` at index int(q n), the last at most.
 
     A first pass brackets every index by approximate percentiles two error bounds to each side; a second one counts
     what lies below the brackets and ranks what lies inside, so a key's rows never meet in one task."""
     rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
     sides = [min(1.0, max(0.0, q + side * 2 / accuracy)) for q in qs.values() for side in (-1, 1)]
     bounds = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, sides, accuracy).alias("_b"))
-    edges = [F.struct(F.lit(name).alias("name"), F.bround(F.lit(q) * (F.col("_n") - 1)).cast("long").alias("i"), F.get("_b", 2 * k).alias("lo"), F.get("_b", 2 * k + 1).alias("hi")) for k, (name, q) in enumerate(qs.items())]
+
+    def at(q: float) -> Column:
+        place = F.least(F.floor(F.lit(q) * F.col("_n")), F.col("_n") - 1) if floor else F.bround(F.lit(q) * (F.col("_n") - 1))
+        return place.cast("long")
+
+    large = F.col("_n") >= 2 * accuracy  # then a bracket holds some places to each side; smaller keys are ranked whole
+    edges = [F.struct(F.lit(name).alias("name"), at(q).alias("i"), F.when(large, F.get("_b", 2 * k)).alias("lo"), F.when(large, F.get("_b", 2 * k + 1)).alias("hi")) for k, (name, q) in enumerate(qs.items())]
     wanted = bounds.select(*keys, F.explode(F.array(*edges)).alias("w")).select(*keys, "w.*")
-    met = rows.join(wanted, keys).filter(F.col(value) <= F.col("hi"))
-    inside = met.filter(F.col(value) >= F.col("lo")).groupBy(*keys, "name", "i", value).agg(F.count(F.lit(1)).alias("_m"))
+    met = rows.join(wanted, keys).filter(F.col("hi").isNull() | (F.col(value) <= F.col("hi")))
+    inside = met.filter(F.col("lo").isNull() | (F.col(value) >= F.col("lo"))).groupBy(*keys, "name", "i", value).agg(F.count(F.lit(1)).alias("_m"))
     below = met.filter(F.col(value) < F.col("lo")).groupBy(*keys, "name").agg(F.count(F.lit(1)).alias("_below"))
     upto = F.sum("_m").over(W.partitionBy(*keys, "name").orderBy(value)) + F.coalesce("_below", F.lit(0))
     found = inside.join(below, [*keys, "name"], "left").withColumn("_upto", upto).filter((F.col("_upto") > F.col("i")) & (F.col("_upto") - F.col("_m") <= F.col("i")))

@@ -238,3 +238,21 @@ def status_counts(rows: DataFrame, by: str, status: Column, states: list[str]) -
 def latest(rows: DataFrame, key: str, order: list[Column], n: int = 1) -> DataFrame:
     """The first n rows of each key, with their place rn."""
     return rows.withColumn("rn", F.row_number().over(W.partitionBy(key).orderBy(*order)).cast("long")).filter(F.col("rn") <= n)
+
+
+def chunk_diagnostics(chunks: DataFrame, by: list[str], n_tokens: str, text: str, most: int = 512) -> DataFrame:
+    """Per group: n chunks, how many are over `most` tokens, the longest, and the share of table cells that are empty."""
+    rows = F.filter(F.split(F.col(text), "\n"), lambda x: F.startswith(F.trim(x), F.lit("|")))
+    cells = F.flatten(F.transform(rows, lambda r: F.transform(F.split(F.btrim(F.trim(r), F.lit("|")), "[|]"), lambda c: F.trim(c))))
+    empty, size = F.size(F.filter(cells, lambda c: c == "")), F.size(cells)
+    longest = F.max(n_tokens).alias("longest")
+    out = chunks.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(n_tokens) > most).alias("long"), longest, F.sum(empty).alias("_e"), F.sum(size).alias("_c"))
+    return out.withColumn("empty_cells", F.round(F.try_divide("_e", "_c"), 4)).drop("_e", "_c")
+
+
+def cut_boundaries(chunks: DataFrame, group: list[str], seq: str, text: str, table: str | None = None) -> DataFrame:
+    """chunks plus mid_word: the one before it in its group ends with a letter, and mid_table: both are table text."""
+    w = W.partitionBy(*group).orderBy(seq)
+    last = F.substring(F.lag(text).over(w), -1, 1)
+    tables = F.lag(table).over(w) & F.col(table) if table else F.lit(False)
+    return chunks.withColumns({"mid_word": F.coalesce(last.rlike("^[a-z]$"), F.lit(False)), "mid_table": F.coalesce(tables, F.lit(False))})

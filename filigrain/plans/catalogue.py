@@ -448,13 +448,12 @@ def token_counts(t):
 
 @query("length_diagnostics", "SELECT lang, count(*) AS n, count(*) FILTER (n_chars > 2048) AS long, max(n_chars) AS longest FROM documents GROUP BY lang")
 def length_diagnostics(t):
-    return t("documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_chars") > 2048).alias("long"), F.max("n_chars").alias("longest"))
+    return reports.chunk_diagnostics(t("documents"), ["lang"], "n_chars", "text", 2048).drop("empty_cells")
 
 
 @query("boundary_lag", "SELECT conv_id, turn, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn) SIMILAR TO '.*[a-z]$', false) AS mid_word FROM conversations")
 def boundary_lag(t):
-    last = F.substring(F.lag("text").over(W.partitionBy("conv_id").orderBy("turn")), -1, 1)
-    return t("conversations").select("conv_id", "turn", F.coalesce(last.rlike("^[a-z]$"), F.lit(False)).alias("mid_word"))
+    return reports.cut_boundaries(t("conversations"), ["conv_id"], "turn", "text").select("conv_id", "turn", "mid_word")
 
 
 @query("json_props", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from filigrain.operators import objective, pipes, reports
+from filigrain.operators import coverage, evaluate, expand, fusion, objective, pipes, reports, variants
 from filigrain.plans.catalogue import query
 from filigrain.sources import tables
 
@@ -267,3 +267,78 @@ def question_kinds(t):
 def freeze_full_outer(t):
     """Customers as the freeze list, orders as chunks, whose status is the set: a filing may have two."""
     return tables.freeze_check(t("customer").select(F.col("c_custkey").alias("key")), t("orders").select(F.col("o_custkey").alias("key"), F.col("o_orderstatus").alias("set_id")), 2)
+
+
+# ---- searches, coverage, chunk variants ----
+
+_THREE = "o AS (SELECT o_custkey % 50 AS qid, o_orderkey AS pos, o_totalprice AS p, o_orderdate AS d FROM orders), l AS (SELECT qid, pos, row_number() OVER (PARTITION BY qid ORDER BY -p, pos) AS r FROM o), e AS (SELECT qid, pos, row_number() OVER (PARTITION BY qid ORDER BY d, pos) AS r FROM o), f AS (SELECT qid, pos, row_number() OVER (PARTITION BY qid ORDER BY pos) AS r FROM o)"
+
+
+@query("narrative_union", f"""WITH {_THREE}, h AS (SELECT qid, pos, r, 0 AS src FROM l WHERE r <= 5 UNION ALL SELECT qid, pos, r, 1 FROM e WHERE r <= 5),
+g AS (SELECT qid, pos, min(r * 2 + src) AS o FROM h GROUP BY ALL), i AS (SELECT qid, pos, row_number() OVER (PARTITION BY qid ORDER BY o) AS a FROM g),
+u AS (SELECT qid, pos, a FROM i UNION ALL SELECT qid, pos, 1000 + r FROM f), m AS (SELECT qid, pos, min(a) AS a FROM u GROUP BY ALL)
+SELECT qid, pos, rank FROM (SELECT qid, pos, row_number() OVER (PARTITION BY qid ORDER BY a) AS rank FROM m) WHERE rank <= 10""")
+def narrative_union(t):
+    o = t("orders").select((F.col("o_custkey") % 50).alias("qid"), F.col("o_orderkey").alias("pos"), "o_totalprice", "o_orderdate")
+    lists = [reports.latest(o, "qid", [order, F.col("pos")], 1 << 30).select("qid", "pos", F.col("rn").alias("rank")) for order in (-F.col("o_totalprice"), F.col("o_orderdate"), F.col("pos"))]
+    return fusion.union_search(*lists, 10)
+
+
+@query("neighbour_search", """WITH c AS (SELECT conv_id * 1000 + turn AS pos, conv_id, turn, role FROM conversations), k AS (SELECT conv_id % 20 AS qid, pos, conv_id, turn, row_number() OVER (PARTITION BY conv_id % 20 ORDER BY pos) AS r FROM c WHERE role = 'assistant'),
+n AS (SELECT k.qid, c.pos, k.r * 100 + 10 * abs(c.turn - k.turn) + (c.turn > k.turn)::INT AS o FROM k JOIN c ON c.conv_id = k.conv_id AND abs(c.turn - k.turn) BETWEEN 1 AND 2 WHERE k.r <= 3),
+u AS (SELECT qid, pos, r * 100 AS o FROM k UNION ALL SELECT * FROM n), m AS (SELECT qid, pos, min(o) AS o FROM u GROUP BY ALL)
+SELECT qid, pos, rank FROM (SELECT qid, pos, row_number() OVER (PARTITION BY qid ORDER BY o, pos) AS rank FROM m) WHERE rank <= 12""")
+def neighbour_search(t):
+    c = t("conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("pos"), "conv_id", "turn", "role", (F.col("conv_id") % 20).alias("qid"))
+    ranked = reports.latest(c.filter("role = 'assistant'"), "qid", [F.col("pos")], 1 << 30).select("qid", "pos", F.col("rn").alias("rank"))
+    return expand.with_neighbours(ranked, c.drop("qid"), ["conv_id"], "turn", 12, window=2)
+
+
+@query("evidence_by_meta", "SELECT doc_id, upper(lang) IN ('EN', 'DE') AND upper(source) IN ('SRC1', 'SRC2') AS fits FROM documents")
+def evidence_by_meta(t):
+    spec = F.create_map(F.lit("ticker"), F.array(F.lit("en"), F.lit("De")), F.lit("form"), F.array(F.lit("SRC1"), F.lit("src2")))
+    return t("documents").select("doc_id", reports.meta_match(spec, {"ticker": F.col("lang"), "form": F.col("source")}).alias("fits"))
+
+
+@query("section_keys", """SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN p_brand ELSE (CASE WHEN p_partkey % 2 = 1 THEN 'Part ' || ['I', 'II', 'III', 'IV'][p_partkey % 4 + 1] || ' ' ELSE '' END) || 'Item ' || p_size || 'A' END AS section FROM part""")
+def section_keys(t):
+    key = F.col("p_partkey")
+    part = F.element_at(F.array(*map(F.lit, ("i", "ii", "iii", "iv"))), (key % 4 + 1).cast("int"))
+    title = F.when(key % 5 == 0, F.col("p_brand")).otherwise(F.concat(F.lit("Part "), part, F.lit(", item "), F.col("p_size").cast("string"), F.lit("a. Parts")))
+    form = F.when(key % 2 == 1, "10-Q").otherwise("10-K")
+    return t("part").select("p_partkey", variants.section_key(title, form, F.col("p_brand")).alias("section"))
+
+
+@query("table_hints", r"SELECT doc_id, regexp_matches(text, '(\n[^\n]*\d[\d,]{2,}[^\n]*){3,}') AS hint FROM documents")
+def table_hints(t):
+    return t("documents").select("doc_id", variants.table_hint(F.col("text")).alias("hint"))
+
+
+@query("filing_labels", "SELECT o_orderkey, o_orderstatus || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE ' FY' || year(o_orderdate) || ' Q1' END || CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE ', period ended ' || o_orderdate::DATE END AS label FROM orders")
+def filing_labels(t):
+    key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    return t("orders").select("o_orderkey", coverage.filing_label(F.col("o_orderstatus"), F.when(key % 3 != 0, F.year(day)), F.lit("Q1"), F.when(key % 4 != 0, day)).alias("label"))
+
+
+@query("company_aliases", "SELECT replace(lower(s_name), '#', ' ') AS alias, 'S' || s_suppkey AS ticker FROM supplier UNION SELECT lower('S' || s_suppkey), 'S' || s_suppkey FROM supplier")
+def company_aliases(t):
+    return coverage.alias_table(t("supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"), F.col("s_name").alias("company")))
+
+
+@query("length_quantiles", "WITH r AS (SELECT lang, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM documents) SELECT lang, max(n_chars) FILTER (i = least(floor(0.5::DOUBLE * n), n - 1)) AS p50, max(n_chars) FILTER (i = least(floor(0.9::DOUBLE * n), n - 1)) AS p90 FROM r GROUP BY lang")
+def length_quantiles(t):
+    return evaluate.nearest_index_percentile(t("documents"), ["lang"], "n_chars", {"p50": 0.5, "p90": 0.9}, floor=True)
+
+
+@query("catalogue_survey", """SELECT n_regionkey, count(*) AS nations, string_agg(n_name, ', ' ORDER BY n_name) AS names, (SELECT count(DISTINCT s_suppkey) FROM supplier JOIN nation m ON s_nationkey = m.n_nationkey WHERE m.n_regionkey = n.n_regionkey) AS suppliers,
+(SELECT count(*) FROM customer JOIN nation m ON c_nationkey = m.n_nationkey WHERE m.n_regionkey = n.n_regionkey AND c_acctbal < 0) AS debtors FROM nation n GROUP BY n_regionkey""")
+def catalogue_survey(t):
+    return tables.survey(t("nation"), t("supplier"), t("customer"))
+
+
+@query("pinned_rows", """WITH pins AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT')
+SELECT o.o_orderkey, c_name, n_name, l_linenumber FROM pins JOIN orders o USING (o_orderkey) JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT l_orderkey, min(l_linenumber) AS l_linenumber FROM lineitem WHERE l_quantity > 40 GROUP BY 1) ON l_orderkey = o.o_orderkey""")
+def pinned_rows(t):
+    for name in ("orders", "customer", "nation", "lineitem"):
+        t(name).createOrReplaceTempView(f"pinned_{name}")
+    return tables.pinned(t("orders").sparkSession, orders="pinned_orders", customer="pinned_customer", nation="pinned_nation", lineitem="pinned_lineitem")

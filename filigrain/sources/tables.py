@@ -215,3 +215,40 @@ def same_vectors(a: DataFrame, b: DataFrame, tolerance: float = 1e-6) -> DataFra
     both = a.select("pos", F.col("embedding").alias("x")).join(b.select("pos", F.col("embedding").alias("y")), "pos", "full_outer")
     gap = F.array_max(F.zip_with("x", "y", lambda p, q: F.abs(p.cast("double") - q.cast("double"))))
     return both.agg(F.count_if(F.col("x").isNull() | F.col("y").isNull()).alias("missing"), F.count_if(gap > tolerance).alias("moved"))
+
+
+def pinned(spark: SparkSession, **views: str) -> DataFrame:
+    """The corpus query: pinned ids of two kinds, joined to what they belong to and, where there is one, to a first large
+    line. SQL with a common table expression, as a database would be asked; `views` name the tables."""
+    return spark.sql(
+        """
+        WITH pins AS (
+          SELECT o_orderkey FROM {orders} WHERE o_orderpriority = '1-URGENT'
+          UNION ALL
+          SELECT o_orderkey FROM {orders} WHERE o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT'
+        ), large AS (
+          SELECT l_orderkey, min(l_linenumber) AS l_linenumber FROM {lineitem} WHERE l_quantity > 40 GROUP BY l_orderkey
+        )
+        SELECT o.o_orderkey, c_name, n_name, l_linenumber
+        FROM pins JOIN {orders} o ON pins.o_orderkey = o.o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+        LEFT JOIN large ON l_orderkey = o.o_orderkey
+        """.format(**views)
+    )
+
+
+def survey(nation: DataFrame, supplier: DataFrame, customer: DataFrame) -> DataFrame:
+    """A survey by region with correlated scalar sub-queries, which Catalyst turns into joins."""
+    spark = nation.sparkSession
+    for name, df in (("nation", nation), ("supplier", supplier), ("customer", customer)):
+        df.createOrReplaceTempView(f"surveyed_{name}")
+    return spark.sql(
+        """
+        WITH n AS (
+          SELECT n_regionkey, count(*) AS nations, listagg(n_name, ', ') WITHIN GROUP (ORDER BY n_name) AS names FROM surveyed_nation GROUP BY n_regionkey
+        )
+        SELECT n_regionkey, nations, names,
+          (SELECT count(DISTINCT s_suppkey) FROM surveyed_supplier JOIN surveyed_nation m ON s_nationkey = m.n_nationkey WHERE m.n_regionkey = n.n_regionkey) AS suppliers,
+          (SELECT count(*) FROM surveyed_customer JOIN surveyed_nation m ON c_nationkey = m.n_nationkey WHERE m.n_regionkey = n.n_regionkey AND c_acctbal < 0) AS debtors
+        FROM n
+        """
+    )

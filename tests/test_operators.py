@@ -1,6 +1,7 @@
 import datetime
 import difflib
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,3 +150,14 @@ def test_as_of(spark):
 def test_kappa_of_equal_labels(spark):
     df = spark.createDataFrame([(0, 0), (1, 1), (1, 1)], "a int, b int")
     assert evaluate.kappa(df, "a", "b").first()["kappa"] == 1.0
+
+
+def test_percentiles_by_brackets(spark):
+    """Large and small keys, ties and nulls, against the sorted list."""
+    rng = random.Random(3)
+    rows = [(k, rng.choice([None, round(rng.gauss(0, 9), 1)])) for k, n in (("a", 3000), ("b", 37), ("c", 1), ("d", 2)) for _ in range(n)] + [("c", 5.0), ("d", None)]
+    qs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    got = {r["k"]: r for r in evaluate.nearest_index_percentile(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", qs, accuracy=100).collect()}
+    for k in "abcd":
+        own = sorted(v for key, v in rows if key == k and v is not None)
+        assert not own or {n: got[k][n] for n in qs} == {n: own[round(q * (len(own) - 1))] for n, q in qs.items()}
