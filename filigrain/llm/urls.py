@@ -152,7 +152,8 @@ def ruled_labels(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
 
 
 class Trees:
-    """Boosted trees over lexical features, fitted on distinct labelled URLs; `rate` alone where one label occurs."""
+    """Boosted trees over lexical features, fitted on distinct labelled URLs; `rate` alone where one label occurs. Both
+    labels weigh alike in sum, however rare one is, so 0.5 parts what looks more like the one or the other."""
 
     def __init__(self, known: DataFrame, statistics: DataFrame, trees: int = 12, depth: int = 4):
         n, rate = known.agg(F.count(F.lit(1)), F.sum(F.col("label") * F.col("_copies")) / F.sum("_copies")).first()
@@ -161,8 +162,9 @@ class Trees:
             size = statistics.agg(F.sum(F.length("suffix") + 60)).first()[0] or 0
             self.statistics = F.broadcast(statistics) if size <= SMALL else statistics.hint("merge")
             self.assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-            train = self.assemble.transform(with_statistics(training(known), self.statistics)).select("features", "label", "_copies")
-            self.model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, cacheNodeIds=False, weightCol="_copies").fit(train.coalesce(4))
+            weight = F.col("_copies") / F.when(F.col("label") == 1, 2 * rate).otherwise(2 * (1 - rate))
+            train = self.assemble.transform(with_statistics(training(known), self.statistics)).select("features", "label", weight.alias("_weight"))
+            self.model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, cacheNodeIds=False, weightCol="_weight").fit(train.coalesce(4))
 
     def scores(self, rows: DataFrame) -> DataFrame:
         """rows (url, host, path, ...) with `allowed`, the probability of label 1."""
