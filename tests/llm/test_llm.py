@@ -15,7 +15,8 @@ import regex
 import xxhash
 from pyspark.sql import functions as F
 
-from filigrain.llm import chat, exact, merkle, minhash, mixing, packing, quality, sharding, suffixes, urls
+from filigrain.llm import chat, common, exact, merkle, minhash, mixing, packing, quality, sharding, suffixes, urls
+from filigrain.llm.components import connected_components
 from filigrain.llm.queries import oracle_sql, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -267,7 +268,7 @@ def brute_groups(texts, k, percent):
     return {d: (len(sets[d]), root[d]) for d in texts}
 
 
-def test_near_duplicates(spark, odd):
+def test_near_duplicates(spark, odd, monkeypatch):
     rng = np.random.default_rng(2)
     base = [f"w{i}" for i in rng.integers(0, 5000, 300)]
     texts = {r[0]: r[1] for r in ROWS if r[0]}
@@ -277,12 +278,27 @@ def test_near_duplicates(spark, odd):
             words[j] = f"e{i}-{j}"
         texts[100 + i] = " ".join(words)
     rows = spark.createDataFrame([(k, v) for k, v in texts.items()] + [(None, "lost")], "doc_id long, text string")
-    for k, percent in ((3, 85), (5, 80)):
+    for k, percent, hot in ((3, 85, 10_000), (5, 80, 1)):  # the second time every key that two rows hold is hot
+        monkeypatch.setattr(common, "HOT_ROWS", hot)
+        monkeypatch.setattr(common, "HOT_WIDE_ROWS", hot)
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(rows, k, percent).collect()}
         assert got.pop(None) == (1, None)
         assert got == brute_groups(texts, k, percent)
 
 
+def test_components_of_stars_and_chains(spark, monkeypatch):
+    edges = [(1, i) for i in range(2, 40)] + [(50 + i, 49 + i) for i in range(1, 30)] + [(99, 98 - i) for i in range(9)] + [(200, 200), (201, 5)]
+    root = {n: n for e in edges for n in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    for hot in (10_000, 1):
+        monkeypatch.setattr(common, "HOT_ROWS", hot)
+        got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges * 2, "a long, b long")).collect()}
+        assert {n: got.get(n, n) for n in root} == root
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_repeats_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(4)
     words = lambda n: [f"v{i}" for i in rng.integers(0, 9000, n)]
