@@ -8,7 +8,7 @@ import uuid
 from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T, Window as W
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
 #: The contract's white space: space, tab, LF, VT, FF, CR.
 SPACES = " \t\n\x0b\x0c\r"
@@ -98,9 +98,9 @@ def fits_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if rows * 16 * len(df.columns) + sum(b or 0 for b in bytes_) <= BROADCAST_BYTES else df
 
 
-#: A key is hot if it holds more than this share of the rows and more than this number of narrow or wide ones, which a
-#: task takes at ease.
-HOT_SHARE, HOT_ROWS, HOT_WIDE_ROWS = 1 / 4096, 10_000, 1_000
+#: A key is hot if it holds more than this share of the rows and more than this number of narrow ones, or of wide ones,
+#: which may be whole sets of very long texts.
+HOT_SHARE, HOT_ROWS, HOT_WIDE_ROWS = 1 / 4096, 10_000, 16
 
 
 def _hot_limit(one: DataFrame, least: int) -> int | None:
@@ -265,6 +265,18 @@ class Words:
         return np.diff(self.first)
 
 
+def give_back() -> None:
+    """Hand memory that Python and Arrow hold unused back to the system; idle workers count against their executor."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def rows_in_slices(batches, size: int = 8 << 20):
     """Arrow batches cut so that each has about `size` bytes of its text column, or a single long text."""
     import pyarrow.compute as pc
@@ -277,5 +289,4 @@ def rows_in_slices(batches, size: int = 8 << 20):
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(a, b - a)
-
-
+    give_back()

@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, Window as W
 
-from filigrain.llm.common import arrow_batches, column_or_null, written
+from filigrain.llm.common import arrow_batches, column_or_null, give_back, written
 
 CAPACITY = 1024
 
@@ -209,6 +209,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end: int = 0, capacity: int = CAP
                     ["doc_id", "doc_tokens", "ids", "width", "_part", "_full", "_rest"],
                 )
                 begin = stop
+        give_back()
 
     narrow = docs.select(column_or_null(docs, "doc_id", "long").alias("doc_id"), column_or_null(docs, "text", "string").alias("text"))
     return narrow.mapInArrow(run, "doc_id long, doc_tokens long, ids binary, width int, _part int, _full long, _rest long")
@@ -258,6 +259,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = 0
                     for column, v in zip(out, (doc, start, length, n, sequence, offset, ids[start : start + length].tobytes())):
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out[:6]] + [pa.array(out[6], pa.binary())], ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+        give_back()
 
     ranked = tokens.join(F.broadcast(maps) if _small(maps, per) else maps, "_part").select(
         "doc_id", "doc_tokens", "ids", "width", (F.col("_full_base") + F.col("_full")).alias("_full_rank"), (F.coalesce(F.try_element_at("_bases", rest), F.lit(0)) + F.col("_rest")).alias("_rest_rank")
