@@ -7,12 +7,14 @@ a whole table run in Python, a table at a time."""
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
-from itertools import groupby
+from itertools import accumulate, groupby
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
+from filigrain.operators.sections import sizes_of, tokens_of
+
 #: Units, printed values, years, page noise, footnote marks, period headings, running page footers.
 UNIT = r"(?i)\(\s*(?:dollars\s+|\$\s*)?in\s+(?:millions|thousands|billions)[^)]*\)(?:\s*\(\s*unaudited\s*\))?"
 VALUE = r"(?i)^(?:[$€£]?\(?-?[$€£]?\d[\d,]*(?:\.\d+)?\)?%?|\(?\d+(?:\.\d+)?\)?\s?%|[—–-]+|\*+|n/?m|\$?—)$"
@@ -229,28 +231,28 @@ def rendered(t: dict, linear: bool = False) -> str:
     return "\n".join([*head_lines(t, linear), *(line_of(t, r["label"], r["values"], linear) for r in t["rows"]), *t["footnotes"]])
 
 
-def pieces(t: dict, count, most: int, linear: bool = False) -> Iterator[str]:
-    """The table whole if it has `most` tokens at most, else groups of rows under the header each; a piece that begins
-    inside a group repeats the group's label. Footnotes go last, alone if they do not fit."""
-    if count(rendered(t, linear)) <= most:
-        yield rendered(t, linear)
-        return
-    head, group, own = head_lines(t, linear), None, []
-    room, made = most - count("\n".join(head)) - SPARE, 0
-    for r in t["rows"]:
-        line = line_of(t, r["label"], r["values"], linear)
-        if own and count("\n".join([*own, line])) > room:
-            yield "\n".join([*head, *own])
-            made += 1
-            own = [line_of(t, f"{group} (cont.)", [], linear)] if group else []
-        own.append(line)
-        if not r["values"]:
-            group = r["label"].rstrip(":") or None
-    if made and t["footnotes"] and count("\n".join([*head, *own, *t["footnotes"]])) > most:
-        yield "\n".join([*head, *own])
-        yield "\n".join([*head, *t["footnotes"]])
-    elif own or t["footnotes"]:
-        yield "\n".join([*head, *own, *t["footnotes"]])
+def pieces(t: dict, most: int, linear: bool = False) -> list[str]:
+    """The table whole if it has `most` tokens at most, else ranges of rows under the header each, found from the rows' word
+    counts. A range that begins inside a group repeats the group's label. Footnotes go to the last range if they fit,
+    else under a header of their own."""
+    whole = rendered(t, linear)
+    if tokens_of(len(whole.split())) <= most:
+        return [whole]
+    head, notes = head_lines(t, linear), t["footnotes"]
+    lines = [line_of(t, r["label"], r["values"], linear) for r in t["rows"]]
+    edges = [0, *accumulate(sizes_of(lines))]
+    room = most - SPARE - tokens_of(sum(sizes_of(head)))
+    opened = accumulate(([] if r["values"] else [r["label"].rstrip(":")] for r in t["rows"]), lambda held, new: new or held, initial=[])
+    again = [[line_of(t, f"{label} (cont.)", [], linear) for label in held] for held in opened]  # before each row
+    cuts = [0]
+    while cuts[-1] < len(lines):
+        i = cuts[-1]
+        lead = sum(sizes_of(again[i])) if i else 0
+        cuts.append(max(i + 1, bisect_right(edges, room, lo=i + 1, key=lambda e: tokens_of(lead + e - edges[i])) - 1))
+    bodies = [[*(again[i] if i else []), *lines[i:j]] for i, j in zip(cuts, cuts[1:])]
+    fit = tokens_of(sum(sizes_of([*head, *(bodies or [[]])[-1], *notes]))) <= most
+    bodies[-1:] = [[*x, *notes] for x in bodies[-1:]] if fit or len(bodies) < 2 else [*bodies[-1:], notes] if notes else bodies[-1:]
+    return ["\n".join([*head, *body]) for body in bodies or [notes]]
 
 
 def table_pieces(found: DataFrame, key: str, most: int = 460, linear: bool = False) -> DataFrame:
@@ -258,8 +260,7 @@ def table_pieces(found: DataFrame, key: str, most: int = 460, linear: bool = Fal
 
     @F.udf(returnType="array<string>", useArrow=True)
     def cut(caption, unit, header_rows, rows, footnotes, columns, n_columns):
-        t = {"caption": caption, "unit": unit, "header_rows": header_rows, "rows": [r.asDict() for r in rows], "footnotes": footnotes, "columns": columns, "n_columns": n_columns}
-        return list(pieces(t, lambda s: int(len(s.split()) * 1.33) + 1, most, linear))
+        return pieces({"caption": caption, "unit": unit, "header_rows": header_rows, "rows": [r.asDict() for r in rows], "footnotes": footnotes, "columns": columns, "n_columns": n_columns}, most, linear)
 
     made = cut("caption", "unit", "header_rows", "rows", "footnotes", "columns", "n_columns")
     return found.select(key, "table", F.posexplode(made).alias("piece", "text"))

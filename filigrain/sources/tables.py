@@ -138,12 +138,13 @@ def new_texts(chunks: DataFrame, cache: DataFrame, text: str = "text") -> DataFr
     return chunks.select(F.sha1(F.col(text)).alias("hash"), F.col(text).alias("text")).dropDuplicates(["hash"]).join(cache.select("hash"), "hash", "left_anti")
 
 
-def read_database(spark: SparkSession, url: str, query: str, fallback: str | None = None, split: tuple[str, int, int, int] | None = None, **options: str) -> DataFrame:
-    """A JDBC query in read-only transactions, 2,000 rows a fetch; `split` (column, low, high, parts) reads in
+def read_database(spark: SparkSession, url: str, query: str, fallback: str | None = None, split: tuple[str, int, int, int] | None = None, first: str = "SET TRANSACTION READ ONLY", **options: str) -> DataFrame:
+    """A JDBC query, 2,000 rows a fetch, after a `first` statement in each session (by default for read-only transactions); `split` (column, low, high, parts) reads in
     parallel. A query that is not permitted is replaced by the fallback."""
 
     def load(sql: str) -> DataFrame:
-        reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({sql}) q").option("fetchsize", "2000").option("sessionInitStatement", "SET TRANSACTION READ ONLY").options(**options)
+        reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({sql}) q").option("fetchsize", "2000").options(**options)
+        reader = reader.option("sessionInitStatement", first) if first else reader
         if split:
             for name, value in zip(("partitionColumn", "lowerBound", "upperBound", "numPartitions"), split):
                 reader = reader.option(name, str(value))

@@ -8,9 +8,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from filigrain.functions.text import normal_name
-from filigrain.operators import coverage, expand, fusion, objective, reports, variants
-from filigrain.sources import filings
+from filigrain.functions.text import normal_name, prose_numbers
+from filigrain.operators import answers, coverage, expand, fusion, objective, reports, sections, variants
+from filigrain.sources import filings, tables
 
 
 def test_paragraphs_are_packed_by_characters():
@@ -169,3 +169,20 @@ def test_anchor_fixes(spark):
 def test_parity_gate(spark):
     recalls = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.0, 0.98)], "qid int, left double, right double")
     assert reports.parity_passes(recalls, True).first()["passed"] and not reports.parity_passes(recalls, False).first()["passed"] and not reports.parity_passes(recalls, True, 0.005).first()["passed"]
+
+
+def test_small_sources_and_sinks(spark, tmp_path):
+    chunks = spark.createDataFrame([("c2", "a1", "10-K", "x"), ("c1", "a1", "10-K", "y"), ("c3", "a2", "10-Q", "z")], "chunk_id string, accession string, form string, text string")
+    tables.write_chunks(chunks, str(tmp_path / "chunks"))
+    assert {p.name for p in (tmp_path / "chunks").iterdir() if p.is_dir()} == {"form=10-K", "form=10-Q"} and spark.read.parquet(str(tmp_path / "chunks")).count() == 3
+    assert {r["chunk_id"] for r in tables.coverage_of(chunks).collect()} == {"c1", "c3"}
+    for _ in range(2):
+        tables.append_log(spark.range(1), str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 2
+
+
+def test_reports_and_headers_of_chunks(spark):
+    made = spark.createDataFrame([("f", "Item 1", True, 0.4), ("f", "Item 2", False, 0.4), ("g", "Item 1", False, 0.9)], "filing string, section string, is_table boolean, coverage double")
+    assert {tuple(r[:3]) + (r["low"],) for r in sections.chunk_report(made, "filing").collect()} == {("f", 2, 1, True), ("g", 1, 0, False)}
+    row = spark.range(1).select(sections.index_text(F.lit("body"), F.lit("Kites"), F.lit("KITE"), F.lit("10-K"), F.lit("FY2030"), F.lit("Item 1"), F.lit("Risk"), F.lit("")).alias("t"), answers.prior_year(F.lit("2032-02-29").cast("date")).alias("d"), prose_numbers(F.lit("In 2030 sales were $1,200.5 up 12%")).alias("n")).first()
+    assert row["t"] == "Kites (KITE) 10-K FY2030 | Item 1 Risk\nbody" and row["d"] == date(2031, 2, 28) and row["n"] == ["$1,200.5", "12%"]
