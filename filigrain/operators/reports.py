@@ -213,11 +213,12 @@ def costs(runs: DataFrame, price_in: float, price_out: float, accuracy: str) ->
     return rows.crossJoin(F.broadcast(base)).withColumn("slope", F.when(more > 1e-9, (F.col(accuracy) - F.col("_b.a")) / more)).drop("_b")  # base is one row
 
 
-def cheapest_meeting(priced: DataFrame, target: float, *metrics: str, run: str = "run", cost: str = "usd_per_1k", by: tuple[str, ...] = ()) -> DataFrame:
-    """Per metric (and `by`) the cheapest run whose metric reaches the target, and its cost; null if none does."""
+def cheapest_meeting(priced: DataFrame, target: float, *metrics: str, run: str = "run", cost: str = "usd_per_1k", by: tuple[str, ...] = (), order: Column | None = None) -> DataFrame:
+    """Per metric (and `by`) the cheapest run whose metric reaches the target, and the least cost of those; null if none
+    does. `order` is what the run is chosen by, if that is not the cost itself; ties go to the first run."""
     best = []
     for m in metrics:
-        rank = F.when(F.col(m) >= target, F.struct(F.col(cost), F.col(run)))
+        rank = F.when(F.col(m) >= target, F.struct((F.col(cost) if order is None else order).alias("o"), F.col(run)))
         best += [F.min_by(run, rank).alias(f"{m}_run"), F.min(F.when(F.col(m) >= target, F.col(cost))).alias(f"{m}_cost")]
     return priced.groupBy(*by).agg(*best)
 
