@@ -12,6 +12,8 @@ from filigrain.functions.text import tokens
 K1, B = 1.5, 0.75
 #: Bytes of query terms that are broadcast at most.
 BROADCAST_BYTES = 24 << 20
+#: Pairs of a query and a chunk that one task counts and sorts at most.
+TASK_PAIRS = 1 << 20
 LexicalIndex = namedtuple("LexicalIndex", "postings terms corpus")
 
 
@@ -28,36 +30,43 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.select("qid", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
 
 
-def _blocks(asked: DataFrame, most: int) -> list[DataFrame]:
-    """Rows (qid, term, ...) whole if they are measured to take `most` bytes at most, else cut by a hash of qid."""
-    n, wide = asked.agg(F.count(F.lit(1)), F.sum(F.octet_length("term"))).first()
+def _blocks(asked: DataFrame, most: int, chunks: DataFrame, pairs: int) -> list[tuple[DataFrame, int]]:
+    """Rows (qid, term, ...) whole if they are measured to take `most` bytes at most, else cut by a hash of qid; each with
+    the number of partitions over which chunks are dealt, so that `pairs` of a query and a chunk meet in a task at most."""
+    n, wide, qids = asked.agg(F.count(F.lit(1)), F.sum(F.octet_length("term")), F.count_distinct("qid")).first()
     blocks = max(1, -(-(n * 48 + (wide or 0)) // most))
-    return [asked.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i) for i in range(blocks)] if blocks > 1 else [asked]
+    parts = max(-(-chunks.count() * -(-qids // blocks) // pairs), chunks.sparkSession.sparkContext.defaultParallelism)
+    return [(asked.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i) if blocks > 1 else asked, parts) for i in range(blocks)]
 
 
-def scores(chunks: DataFrame, queries: DataFrame, pos: str = "pos", text: str = "text", most: int = BROADCAST_BYTES) -> DataFrame:
-    """(qid, pos, score) of queries(qid, query) over all chunks.
+def scores(chunks: DataFrame, queries: DataFrame, pos: str = "pos", text: str = "text", most: int = BROADCAST_BYTES, keep: tuple[str, ...] = (), allowed: Column | None = None, pairs: int = TASK_PAIRS) -> DataFrame:
+    """(qid, pos, *keep, score) of queries(qid, query) over all chunks; `keep` are columns of chunks that go along,
+    `allowed` a condition on chunks that may be candidates (statistics are of all).
 
     Texts are tokenised once. Only tokens that some query has go on, with an empty one per chunk that counts chunks
     and lengths; they are dealt by chunk, so term counts and scores need no shuffle by term, where a common term would
-    gather all chunks in one task. The queries' terms are broadcast, in blocks of `most` bytes if there are more."""
-    toks = chunks.select(F.col(pos).alias("pos"), tokens(F.col(text)).alias("toks"))
-    toks = toks.select("pos", F.size("toks").cast("long").alias("dl"), F.explode(F.concat(F.array(F.lit("")), "toks")).alias("term"))
+    gather all chunks in one task. The queries' terms are broadcast, in blocks of `most` bytes if there are more. A task
+    gets so few chunks that it holds `pairs` scores at most, however many chunks there are."""
+    may = F.lit(True) if allowed is None else F.coalesce(allowed, F.lit(False))
+    toks = chunks.select(F.col(pos).alias("pos"), *keep, may.alias("_may"), tokens(F.col(text)).alias("toks"))
+    toks = toks.select("pos", *keep, "_may", F.size("toks").cast("long").alias("dl"), F.explode(F.concat(F.array(F.lit("")), "toks")).alias("term"))
     toks = toks.withColumn("term", F.coalesce("term", F.lit("")))
-    return reduce(DataFrame.unionByName, [_block_scores(toks, asked) for asked in _blocks(query_terms(queries), most)])
+    blocks = _blocks(query_terms(queries), most, chunks, pairs)
+    return reduce(DataFrame.unionByName, [_block_scores(toks, asked, parts, keep) for asked, parts in blocks])
 
 
-def _block_scores(toks: DataFrame, asked: DataFrame) -> DataFrame:
+def _block_scores(toks: DataFrame, asked: DataFrame, parts: int, keep: tuple[str, ...]) -> DataFrame:
     count_all = asked.sparkSession.createDataFrame([("",)], "term string")
-    met = toks.join(F.broadcast(asked.select("term").union(count_all).distinct()), "term", "left_semi").repartition("pos")
-    postings = met.groupBy("pos", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    met = toks.join(F.broadcast(asked.select("term").union(count_all).distinct()), "term", "left_semi").repartition(parts, "pos")
+    postings = met.groupBy("pos", *keep, "_may", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("_dls"))
     corpus = terms.filter("term = ''").select(F.col("df").alias("n"), (F.col("_dls") / F.col("df")).alias("avgdl"))
     idf = F.ln((F.col("n") - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)) + F.lit(1.0))
     weights = terms.join(F.broadcast(corpus)).select("term", idf.alias("idf"), "avgdl")  # corpus is one row
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl"))
     hit = postings.join(F.broadcast(asked.join(weights, "term")), "term")
-    return hit.groupBy("pos", "qid").agg(F.sum(F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score")).select("qid", "pos", "score")
+    hit = hit.filter(F.when(F.col("_may"), F.col("idf")).isNotNull())  # of both sides, so it stays above the dealing, which serves counts and scores
+    return hit.groupBy("pos", "qid", *keep).agg(F.sum(F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score")).select("qid", "pos", *keep, "score")
 
 
 def indexed_scores(index: LexicalIndex, queries: DataFrame) -> DataFrame:
@@ -68,17 +77,21 @@ def indexed_scores(index: LexicalIndex, queries: DataFrame) -> DataFrame:
     return hit.groupBy("qid", "pos").agg(F.sum(idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score"))
 
 
-def keyword_overlap(chunks: DataFrame, queries: DataFrame, top_k: int = 10, pos: str = "pos", text: str = "text") -> DataFrame:
+def keyword_overlap(chunks: DataFrame, queries: DataFrame, top_k: int = 10, pos: str = "pos", text: str = "text", pairs: int = TASK_PAIRS) -> DataFrame:
     """(qid, pos, score, rank): common distinct words over the root of the product of both counts, best first, ties by
-    position; chunks without a common word are left out. Words are runs of a-z and 0-9, lower-cased."""
+    position; chunks without a common word are left out. Words are runs of a-z and 0-9, lower-cased. A task holds `pairs`
+    of a query and a chunk at most."""
 
     def words(c: str) -> Column:
         return F.array_distinct(F.regexp_extract_all(F.lower(F.col(c)), F.lit("[a-z0-9]+"), F.lit(0)))
 
     asked = queries.select("qid", words("query").alias("q")).select("qid", F.size("q").alias("m"), F.explode("q").alias("term"))
     rows = chunks.select(F.col(pos).alias("pos"), words(text).alias("p")).select("pos", F.size("p").alias("n"), F.explode("p").alias("term"))
-    dealt = rows.repartition("pos")
-    hit = reduce(DataFrame.unionByName, [dealt.join(F.broadcast(block), "term").groupBy("pos", "qid", "m", "n").agg(F.count(F.lit(1)).alias("c")) for block in _blocks(asked, BROADCAST_BYTES)])
+
+    def common(block: DataFrame, parts: int) -> DataFrame:
+        return rows.repartition(parts, "pos").join(F.broadcast(block), "term").groupBy("pos", "qid", "m", "n").agg(F.count(F.lit(1)).alias("c"))
+
+    hit = reduce(DataFrame.unionByName, [common(*block) for block in _blocks(asked, BROADCAST_BYTES, chunks, pairs)])
     return top(hit.select("qid", "pos", (F.col("c") / F.sqrt(F.col("m") * F.col("n"))).alias("score")), top_k)
 
 
@@ -90,8 +103,9 @@ def top(scored: DataFrame, candidates: int = 100, positive: bool = True) -> Data
 
 
 def bm25(chunks: DataFrame, queries: DataFrame, allowed: DataFrame | Column | None = None, candidates: int = 100, pos: str = "pos", text: str = "text") -> DataFrame:
-    """(qid, pos, score, rank). allowed: rows (qid, pos) or (pos) that may be candidates."""
-    scored = scores(chunks, queries, pos, text)
-    if allowed is not None:
+    """(qid, pos, score, rank). allowed: a condition on chunks, or rows (qid, pos) or (pos), that may be candidates."""
+    mask = allowed if isinstance(allowed, Column) else None
+    scored = scores(chunks, queries, pos, text, allowed=mask)
+    if allowed is not None and mask is None:
         scored = scored.join(allowed, [c for c in ("qid", "pos") if c in allowed.columns], "left_semi")
     return top(scored, candidates)

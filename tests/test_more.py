@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filigrain.functions.text import normal_name, prose_numbers
-from filigrain.operators import answers, coverage, expand, fusion, objective, reports, sections, variants
+from filigrain.operators import answers, coverage, expand, fusion, lexical, objective, reports, sections, variants
 from filigrain.sources import filings, tables
 
 
@@ -186,3 +186,23 @@ def test_reports_and_headers_of_chunks(spark):
     assert {tuple(r[:3]) + (r["low"],) for r in sections.chunk_report(made, "filing").collect()} == {("f", 2, 1, True), ("g", 1, 0, False)}
     row = spark.range(1).select(sections.index_text(F.lit("body"), F.lit("Kites"), F.lit("KITE"), F.lit("10-K"), F.lit("FY2030"), F.lit("Item 1"), F.lit("Risk"), F.lit("")).alias("t"), answers.prior_year(F.lit("2032-02-29").cast("date")).alias("d"), prose_numbers(F.lit("In 2030 sales were $1,200.5 up 12%")).alias("n")).first()
     assert row["t"] == "Kites (KITE) 10-K FY2030 | Item 1 Risk\nbody" and row["d"] == date(2031, 2, 28) and row["n"] == ["$1,200.5", "12%"]
+
+
+def test_pairs_of_a_task_are_bounded(spark):
+    """A task gets so few chunks that their scores with all queries stay in number, and the results are the same."""
+    chunks = spark.createDataFrame([(i, f"alpha beta w{i % 7}", "ab"[i % 2]) for i in range(400)], "pos long, text string, lang string")
+    asked = spark.createDataFrame([(q, f"alpha w{q}") for q in range(5)], "qid long, query string")
+    for df in (lexical.scores(chunks, asked, pairs=100), lexical.keyword_overlap(chunks, asked, 400, pairs=100)):
+        assert sorted((r["qid"], r["pos"]) for r in df.collect()) == [(q, i) for q in range(5) for i in range(400)]
+    per_task = lexical.scores(chunks, asked, pairs=100).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 2000 and max(r["count"] for r in per_task) <= 250
+
+
+def test_candidates_by_a_condition(spark):
+    """Masked chunks count in the statistics, a null condition lets nothing through, kept columns go along."""
+    chunks = spark.createDataFrame([(i, f"alpha w{i % 7} " * (i % 3 + 1), [None, "a", "b"][i % 3]) for i in range(60)], "pos long, text string, lang string")
+    asked = spark.createDataFrame([(q, f"alpha w{q}") for q in range(3)], "qid long, query string")
+    rows = lambda df: sorted((r["qid"], r["pos"], r["score"], r["rank"]) for r in df.collect())
+    assert rows(lexical.bm25(chunks, asked, F.col("lang") == "a", 7)) == rows(lexical.bm25(chunks, asked, chunks.filter("lang = 'a'").select("pos"), 7))
+    kept = lexical.scores(chunks, asked, keep=("lang",), allowed=F.col("lang").isin("a", "b")).select("pos", "lang").distinct().collect()
+    assert sorted(map(tuple, kept)) == [(i, [None, "a", "b"][i % 3]) for i in range(60) if i % 3]
