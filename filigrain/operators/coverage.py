@@ -10,6 +10,13 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 from filigrain.functions.text import normal_name
 
 DAYS, RATIO, LEAST = 7, 0.84, 5
+#: Requests and filings that meet in one task.
+TASK_ROWS = 1 << 17
+
+
+def _parts(requests: DataFrame, filings: DataFrame) -> int:
+    """Over how many partitions both are dealt, so that a task's share does not grow with them."""
+    return max(-(-(requests.count() + filings.count()) // TASK_ROWS), requests.sparkSession.sparkContext.defaultParallelism)
 
 
 def last_year_end(year_end: Column, period_end: Column) -> Column:
@@ -116,7 +123,7 @@ def plan(requests: DataFrame, filings: DataFrame) -> DataFrame:
     return per.select("qid", "targets", "hits", status.alias("status"))
 
 
-def targets(requests: DataFrame, filings: DataFrame, combine: str = "product") -> DataFrame:
+def targets(requests: DataFrame, filings: DataFrame, combine: str = "product", parts: int | None = None) -> DataFrame:
     """qid, ticker, form, fiscal_year, fiscal_period, period_end, status (hit or miss) and the accessions that hit,
     for requests(qid, tickers, forms, fiscal_years, fiscal_periods, period_ends: arrays, null or empty for any)
     against filings(ticker, form, accession, period_end, fiscal_year, fiscal_period).
@@ -124,9 +131,13 @@ def targets(requests: DataFrame, filings: DataFrame, combine: str = "product") -
     product: every ticker with every form, year, period and date. independent: every ticker with each date, each
     pair of year and period, and each form on its own; with the ticker alone where nothing else is asked.
     A filing of the next fiscal year covers a year, if it has the period asked for (or none is); an FY filing covers
-    Q4 of its year; dates as in covered_dates, within DAYS."""
+    Q4 of its year; dates as in covered_dates, within DAYS.
+
+    Tickers and targets are dealt over `parts` partitions, as many as the rows of both ask for: bytes do not tell how
+    many targets a request gives."""
     if combine not in ("product", "independent"):
         raise ValueError("combine must be 'product' or 'independent'")
+    parts = parts or _parts(requests, filings)
     kinds = {"form": "string", "fiscal_year": "int", "fiscal_period": "string", "period_end": "date"}
     r = requests.select("qid", F.array_distinct("tickers").alias("tickers"), *[F.col(f"{c}s").cast(f"array<{k}>").alias(c) for c, k in kinds.items()])
     r = r.withColumns({"form": F.transform("form", lambda v: F.regexp_replace(F.upper(v), "10([KQ])", "10-$1")), "fiscal_period": F.transform("fiscal_period", lambda v: F.upper(v))})
@@ -145,12 +156,12 @@ def targets(requests: DataFrame, filings: DataFrame, combine: str = "product") -
     if combine == "product":
         plan_ = expand(set(kinds))
     else:
-        parts = [expand({"period_end"}), expand({"fiscal_year", "fiscal_period"}), expand({"form"})]
-        asked = [p.filter(F.coalesce(*[F.col(c).cast("string") for c in kinds]).isNotNull()) for p in parts]
+        apart = [expand({"period_end"}), expand({"fiscal_year", "fiscal_period"}), expand({"form"})]
+        asked = [p.filter(F.coalesce(*[F.col(c).cast("string") for c in kinds]).isNotNull()) for p in apart]
         empty = r.filter(F.greatest(*[F.coalesce(F.size(c), F.lit(0)) for c in kinds]) <= 0)
         alone = empty.select("qid", F.explode("tickers").alias("ticker"), *[F.lit(None).cast(k).alias(c) for c, k in kinds.items()])
         plan_ = asked[0].union(asked[1]).union(asked[2]).union(alone)
-    f = covered_dates(filings, "ticker", "period_end", "form").select("ticker", "accession", *[F.col(c).alias(f"_{c}") for c in kinds], "_dates")
+    f = covered_dates(filings.repartition(parts, "ticker"), "ticker", "period_end", "form").select("ticker", "accession", *[F.col(c).alias(f"_{c}") for c in kinds], "_dates")
     year, period, day = F.col("fiscal_year"), F.col("fiscal_period"), F.col("period_end")
     own = F.col("_fiscal_period")
     fits_form = F.col("form").isNull() | (F.upper("_form") == F.col("form"))
@@ -158,15 +169,14 @@ def targets(requests: DataFrame, filings: DataFrame, combine: str = "product") -
     fits_year = year.isNull() | (F.col("_fiscal_year") == year) | next_year
     fits_period = period.isNull() | (own == period) | ((period == "Q4") & (own == "FY"))
     fits_date = day.isNull() | (F.col("_period_end").isNotNull() & F.exists("_dates", lambda d: F.abs(F.datediff(d, day)) <= DAYS))
-    distinct = plan_.drop("qid").distinct()
+    distinct = plan_.drop("qid").repartition(parts, "ticker").distinct()
     hit = distinct.join(f, "ticker").filter(fits_form & fits_year & fits_period & fits_date)
     hit = hit.groupBy("ticker", *kinds).agg(F.array_sort(F.collect_set("accession")).alias("accessions"))
-    same = F.lit(True)
-    p, h = plan_.alias("p"), hit.alias("h")
-    for c in ["ticker", *kinds]:
-        same = same & F.col(f"p.{c}").eqNullSafe(F.col(f"h.{c}"))
-    status = F.when(F.col("h.accessions").isNull(), "miss").otherwise("hit")
-    return p.join(h, same, "left").select("p.*", status.alias("status"), F.coalesce("h.accessions", F.array().cast("array<string>")).alias("accessions"))
+    target = F.struct("ticker", *kinds)  # nulls in a struct are equal
+    p, h = (df.withColumn("_target", target).repartition(parts, "_target") for df in (plan_, hit))
+    status = F.when(F.col("accessions").isNull(), "miss").otherwise("hit")
+    j = p.join(h.select("_target", "accessions"), "_target", "left")
+    return j.select(*plan_.columns, status.alias("status"), F.coalesce("accessions", F.array().cast("array<string>")).alias("accessions"))
 
 
 def check(requests: DataFrame, filings: DataFrame, combine: str = "product") -> DataFrame:
@@ -174,7 +184,8 @@ def check(requests: DataFrame, filings: DataFrame, combine: str = "product") ->
     an array of names that are no company, where there may be such. Status: no_target, unresolved, all_hit, none,
     partial."""
     unresolved = F.coalesce(F.size("unresolved"), F.lit(0)) if "unresolved" in requests.columns else F.lit(0)
-    per = targets(requests, filings, combine).groupBy("qid").agg(F.count(F.lit(1)).alias("targets"), F.count_if(F.col("status") == "hit").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("accessions")))).alias("accessions"))
+    parts = _parts(requests, filings)
+    per = targets(requests, filings, combine, parts).repartition(parts, "qid").groupBy("qid").agg(F.count(F.lit(1)).alias("targets"), F.count_if(F.col("status") == "hit").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("accessions")))).alias("accessions"))
     j = requests.select("qid", F.greatest(unresolved, F.lit(0)).alias("_u")).join(per, "qid", "left")
     n, hits = F.coalesce("targets", F.lit(0)), F.coalesce("hits", F.lit(0))
     status = F.when((n == 0) & (F.col("_u") == 0), "no_target").when(n == 0, "unresolved").when((hits == n) & (F.col("_u") == 0), "all_hit").when(hits == 0, "none").otherwise("partial")
