@@ -24,8 +24,14 @@ def _lines(t) -> DataFrame:
     return t("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), text.alias("t"))
 
 
+#: Lines whose orders one task joins and cuts again.
+_TASK_LINES = 1 << 18
+
+
 def _sections(t) -> DataFrame:
-    return _lines(t).groupBy("k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "t"))), lambda x: x["t"]), "\n").alias("text"))
+    lines = _lines(t)
+    parts = max(-(-lines.count() // _TASK_LINES), lines.sparkSession.sparkContext.defaultParallelism)
+    return lines.repartition(parts, "k").groupBy("k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "t"))), lambda x: x["t"]), "\n").alias("text"))
 
 
 @query("logical_rows", f"""WITH {_LINES}, a AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY n, t) - 1 AS pos, trim(t) AS t FROM ln),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from filigrain.functions.text import normal_name, prose_numbers
 from filigrain.operators import answers, coverage, expand, fusion, lexical, objective, reports, sections, variants
+from filigrain.plans import derived
 from filigrain.sources import filings, tables
 
 
@@ -206,3 +207,20 @@ def test_candidates_by_a_condition(spark):
     assert rows(lexical.bm25(chunks, asked, F.col("lang") == "a", 7)) == rows(lexical.bm25(chunks, asked, chunks.filter("lang = 'a'").select("pos"), 7))
     kept = lexical.scores(chunks, asked, keep=("lang",), allowed=F.col("lang").isin("a", "b")).select("pos", "lang").distinct().collect()
     assert sorted(map(tuple, kept)) == [(i, [None, "a", "b"][i % 3]) for i in range(60) if i % 3]
+
+
+@pytest.mark.parametrize("combine", ["product", "independent"])
+def test_targets_of_a_task_are_bounded(spark, monkeypatch, combine):
+    monkeypatch.setattr(coverage, "TASK_ROWS", 20)
+    filings = spark.createDataFrame([(f"t{i}", "10-K", f"a{i}", date(2024, 12, 31), 2024, "FY") for i in range(200)], "ticker string, form string, accession string, period_end date, fiscal_year int, fiscal_period string")
+    asked = spark.range(200).selectExpr("id AS qid", "array('t' || id) AS tickers", "array('10-K') AS forms", "array(2023, 2024) AS fiscal_years", "CAST(NULL AS array<string>) AS fiscal_periods", "CAST(NULL AS array<date>) AS period_ends")
+    rows = coverage.targets(asked, filings, combine)
+    per_task = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == rows.count() and len(per_task) > 10 and max(per_task) <= 80
+    assert coverage.check(asked, filings, combine).filter("status <> 'all_hit' AND accessions[0] <> 'a' || qid").count() == 0
+
+
+def test_lines_of_a_task_are_bounded(spark, sf, monkeypatch):
+    monkeypatch.setattr(derived, "_TASK_LINES", 500)
+    per_task = derived.logical_rows(lambda t: spark.read.parquet(f"{sf}/{t}.parquet")).groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) >= 10
