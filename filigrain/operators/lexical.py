@@ -8,21 +8,86 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from filigrain.functions.text import tokens
+from filigrain.session import written
 
 K1, B = 1.5, 0.75
 #: Bytes of query terms that are broadcast at most.
 BROADCAST_BYTES = 24 << 20
 #: Pairs of a query and a chunk that one task counts and sorts at most.
 TASK_PAIRS = 1 << 20
+#: Terms of the most chunks that `rarest` broadcasts at most.
+COMMON_TERMS = 1 << 16
 LexicalIndex = namedtuple("LexicalIndex", "postings terms corpus")
 
 
+def _tokenised(chunks: DataFrame, pos: str, text: str) -> DataFrame:
+    """(pos, dl, toks) of all chunks."""
+    return chunks.select(F.col(pos).alias("pos"), tokens(F.col(text)).alias("toks")).withColumn("dl", F.size("toks").cast("long"))
+
+
+def _each(rows: DataFrame, terms: Column | str, *keep: str) -> DataFrame:
+    """(pos, dl, *keep, term) of arrays. From `explode` Spark derives a filter on the array, for which each text is tokenised once more."""
+    return rows.select("pos", "dl", *keep, F.explode_outer(terms).alias("term")).filter("term IS NOT NULL")
+
+
+def _repeats(chunks: DataFrame, pos: str) -> bool:
+    """Whether chunks share a position; then equal terms of such of one length are one posting."""
+    return not chunks.groupBy(pos).count().filter("count > 1").isEmpty()
+
+
+def _frequencies(toks: DataFrame, repeats: bool) -> DataFrame:
+    """terms(term, df) of tokenised chunks, counted before anything is shuffled: no task gets all chunks of a term."""
+    each = _each(toks, F.array_distinct("toks"))
+    return (each.distinct() if repeats else each).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def build(chunks: DataFrame, pos: str = "pos", text: str = "text") -> LexicalIndex:
     """postings(term, pos, tf, dl), terms(term, df), corpus(n, avgdl: one row)."""
-    toks = chunks.select(F.col(pos).alias("pos"), tokens(F.col(text)).alias("toks")).withColumn("dl", F.size("toks").cast("long"))
+    toks = _tokenised(chunks, pos, text)
     corpus = toks.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
-    postings = toks.select("pos", "dl", F.explode("toks").alias("term")).groupBy("term", "pos", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    return LexicalIndex(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), corpus)
+    postings = _each(toks, "toks").groupBy("term", "pos", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    return LexicalIndex(postings, _frequencies(toks, _repeats(chunks, pos)), corpus)
+
+
+def _common_from(terms: DataFrame, most: int) -> int:
+    """The smallest df that `most` terms have or exceed at most."""
+    least, n = None, 0
+    for row in terms.groupBy("df").count().orderBy(F.desc("df")).collect():  # few: as many terms of n, n - 1, ... chunks are met
+        n += row["count"]
+        if n > most:
+            break
+        least = row["df"]
+    return 2**63 - 1 if least is None else least
+
+
+def _has_rare(array: str, common: DataFrame, k: int, slots: int) -> Column:
+    """Whether k terms are surely not common: a byte by the terms' hash tells where a common one is. The first terms mostly do."""
+    slot = lambda t: F.pmod(F.xxhash64(t), F.lit(slots)).cast("int")
+    table = bytearray(slots)
+    for row in common.select(slot(F.col("term")).alias("at")).distinct().collect():
+        table[row["at"]] = 1
+    has = lambda terms: F.size(F.filter(terms, lambda t: F.substring(F.lit(bytes(table)), slot(t) + 1, F.lit(1)) == F.lit(b"\0"))) >= k
+    return has(F.slice(array, 1, 32)) | has(F.col(array))
+
+
+def rarest(chunks: DataFrame, k: int = 3, pos: str = "pos", text: str = "text", most: int = COMMON_TERMS) -> DataFrame:
+    """(pos, term, df, rank): the k terms of each chunk that the fewest chunks have, ties by term.
+
+    Terms of so many chunks that `most` terms have as many are common. They are broadcast, and a chunk with k others goes
+    on without them, as those come first. What is left is written, as it is joined in two ways: common terms are known,
+    others, which few chunks have, are dealt by term."""
+    toks, repeats = _tokenised(chunks, pos, text), _repeats(chunks, pos)
+    terms = written(_frequencies(toks, repeats), "terms")
+    least = _common_from(terms, most)
+    common = terms.filter(F.col("df") >= least)
+    sets = toks.select("pos", "dl", F.array_distinct("toks").alias("all")).withColumn("enough", _has_rare("all", common, k, 8 * most))
+    each = _each(sets, "all", "enough").join(F.broadcast(common), "term", "left")
+    held = written(each.filter("df IS NULL OR NOT enough").drop("enough"), "held")
+    rare = held.filter("df IS NULL").drop("df").join(terms.filter(F.col("df") < least).hint("shuffle_hash"), "term")
+    rows = held.filter("df IS NOT NULL").unionByName(rare)
+    rows = rows.dropDuplicates(["term", "pos", "dl"]) if repeats else rows
+    rows = rows.withColumn("rank", F.row_number().over(W.partitionBy("pos").orderBy("df", "term")))
+    return rows.filter(F.col("rank") <= k).select("pos", "term", "df", "rank")
 
 
 def query_terms(queries: DataFrame) -> DataFrame:

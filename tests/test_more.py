@@ -2,15 +2,18 @@
 
 import io
 import json
+import re
 import urllib.error
+from collections import Counter
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from filigrain.functions.text import normal_name, prose_numbers
+from filigrain.functions.text import STOP_WORDS, TOKEN, normal_name, prose_numbers
 from filigrain.operators import answers, coverage, expand, fusion, lexical, objective, reports, sections, variants
 from filigrain.plans import derived
+from filigrain.plans.catalogue import QUERIES
 from filigrain.sources import filings, tables
 
 
@@ -224,3 +227,46 @@ def test_lines_of_a_task_are_bounded(spark, sf, monkeypatch):
     monkeypatch.setattr(derived, "_TASK_LINES", 500)
     per_task = derived.logical_rows(lambda t: spark.read.parquet(f"{sf}/{t}.parquet")).groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) >= 10
+
+
+def _spread(spark):
+    """200 chunks: few, middling and common words, copies, ties, short and empty texts, one without text."""
+    words = [f"w{i:03d}" for i in range(300)]
+    texts = [" ".join(words[j] for j in range(300) if (i * 7919 + j * 104729) % 997 < 3 * j) for i in range(150)]
+    texts += ["w299 w298"] * 20 + ["w299"] * 10 + ["alone w299 w298 w297"] * 3 + ["b a c w299 a"] * 2 + ["", "...", None, "the w001's of", "z.9 z-9 z&9 z"] + [f"own{i} w299 w298" for i in range(10)]
+    return list(enumerate(texts)), spark.createDataFrame(list(enumerate(texts)), "pos long, text string")
+
+
+def _rarest(chunks, k):
+    """By brute force: postings are one per term, position and length."""
+    postings = set()
+    for pos, t in chunks:
+        toks = [w for w in re.findall(TOKEN, (t or "").lower().replace("’", "'").replace("'s ", " ")) if w not in STOP_WORDS]
+        postings |= {(w, pos, len(toks)) for w in toks}
+    df = Counter(w for w, _, _ in postings)
+    by = {}
+    for w, pos, _ in postings:
+        by.setdefault(pos, []).append((df[w], w))
+    return sorted((pos, w, n, rank) for pos, found in by.items() for rank, (n, w) in enumerate(sorted(found)[:k], 1))
+
+
+@pytest.mark.parametrize("most", [1, 3, 40, 10_000])
+def test_rarest_terms_whatever_is_common(spark, most):
+    chunks, df = _spread(spark)
+    assert sorted(map(tuple, lexical.rarest(df, most=most).collect())) == _rarest(chunks, 3)
+    again = [*chunks, *((pos, t) for pos, t in chunks if pos % 3), *((pos, f"{t} more") for pos, t in chunks if pos % 5 == 0)]
+    twice = spark.createDataFrame(again, "pos long, text string")
+    assert sorted(map(tuple, lexical.rarest(twice, 2, most=most).collect())) == _rarest(again, 2)
+
+
+def test_rarest_terms_deals_only_rare_pairs(spark, sf):
+    """All pairs of a term and a chunk, of texts tokenised in the plan, were dealt by both and joined by term."""
+    plan = QUERIES["rarest_terms"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "strategy=shuffle_hash" in plan
+
+
+def test_a_text_is_tokenised_once(spark):
+    """Spark derived a filter on the exploded array, with the whole tokenisation in it."""
+    index = lexical.build(_spread(spark)[1])
+    for df in (index.postings, index.terms, index.corpus):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
