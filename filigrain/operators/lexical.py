@@ -49,6 +49,17 @@ def build(chunks: DataFrame, pos: str = "pos", text: str = "text") -> LexicalInd
     return LexicalIndex(postings, _frequencies(toks, _repeats(chunks, pos)), corpus)
 
 
+def statistics(chunks: DataFrame, pos: str = "pos", text: str = "text") -> DataFrame:
+    """One row (n, avgdl, terms, tokens) of one pass: a chunk's first term, or the empty row of one without terms, carries
+    its length, and terms are counted before anything is shuffled."""
+    toks = _tokenised(chunks, pos, text)
+    each = toks.select("dl", F.posexplode_outer(F.array_distinct("toks")).alias("at", "term"))
+    each = each.select("term", F.coalesce(F.col("at") == 0, F.lit(True)).alias("first"), "dl")
+    terms = each.groupBy("term").agg(F.count_if("first").alias("n"), F.count(F.when(F.col("first"), F.col("dl"))).alias("known"), F.sum(F.when(F.col("first"), F.col("dl"))).alias("dls"))
+    total = terms.agg(F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("dls").alias("dls"), F.count("term").alias("terms"))
+    return total.select(F.coalesce("n", F.lit(0).cast("long")).alias("n"), (F.col("dls") / F.nullif("known", F.lit(0))).alias("avgdl"), "terms", F.nullif("dls", F.lit(0)).alias("tokens"))
+
+
 def _common_from(terms: DataFrame, most: int) -> int:
     """The smallest df that `most` terms have or exceed at most."""
     least, n = None, 0

@@ -7,13 +7,14 @@ import urllib.error
 from collections import Counter
 from datetime import date
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from filigrain.functions.text import STOP_WORDS, TOKEN, normal_name, prose_numbers
 from filigrain.operators import answers, coverage, expand, fusion, lexical, objective, reports, sections, variants
 from filigrain.plans import derived
-from filigrain.plans.catalogue import QUERIES
+from filigrain.plans.catalogue import QUERIES, SQL
 from filigrain.sources import filings, tables
 
 
@@ -270,3 +271,15 @@ def test_a_text_is_tokenised_once(spark):
     index = lexical.build(_spread(spark)[1])
     for df in (index.postings, index.terms, index.corpus):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+
+
+def test_corpus_stats_read_texts_once(spark, sf, tmp_path):
+    """Three reads and five tokenisations before. Without texts or terms there is no mean and no sum, as in the SQL."""
+    plan = QUERIES["corpus_stats"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("Relation [") == 1
+    chunks, _ = _spread(spark)
+    for i, some in enumerate((chunks, [*chunks, *chunks, (None, "w001 w002")], [(1, None), (2, "")], [(1, None)], [(1, "of the")], [])):
+        spark.createDataFrame(some, "doc_id long, text string").withColumn("lang", F.lit("")).withColumn("source", F.lit("")).coalesce(1).write.parquet(f"{tmp_path}/{i}/documents.parquet")
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/{i}/documents.parquet/*.parquet'")
+        assert [tuple(r) for r in QUERIES["corpus_stats"](spark, f"{tmp_path}/{i}").select("n", "avgdl", "terms", "tokens").collect()] == con.execute(SQL["corpus_stats"]).fetchall()
